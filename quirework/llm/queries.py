@@ -6,11 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quirework.llm import bpe
+from quirework.llm import ann, bpe, packing, topk
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op10_bpe": bpe.op10}
+    return {
+        "op1_ann": ann.op1,
+        "op3_packing": packing.op3,
+        "op9_topk": topk.op9,
+        "op10_bpe": bpe.op10,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
