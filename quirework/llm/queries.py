@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quirework.llm import ann, bpe, packing, topk
+from quirework.llm import ann, bpe, packing, quality, topk
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_ann": ann.op1,
         "op3_packing": packing.op3,
+        "op6_quality": quality.op6,
         "op9_topk": topk.op9,
         "op10_bpe": bpe.op10,
     }
