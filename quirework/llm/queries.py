@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quirework.llm import ann, bpe, packing, quality, topk
+from quirework.llm import ann, bpe, packing, quality, topk, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -14,10 +14,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_ann": ann.op1,
         "op3_packing": packing.op3,
         "op6_quality": quality.op6,
+        "op7_warc": warc.op7,
         "op9_topk": topk.op9,
         "op10_bpe": bpe.op10,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op7_warc": warc.OP7_SQL}
