@@ -6,13 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quirework.llm import ann, bpe, packing, quality, topk, warc
+from quirework.llm import ann, bpe, lm, packing, pii, quality, topk, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_ann": ann.op1,
         "op3_packing": packing.op3,
+        "op4_pii": pii.op4,
+        "op5_lm": lm.op5,
         "op6_quality": quality.op6,
         "op7_warc": warc.op7,
         "op9_topk": topk.op9,
@@ -21,4 +23,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_warc": warc.OP7_SQL}
+    return {
+        "op5_lm": lm.OP5_SQL,
+        "op7_warc": warc.OP7_SQL,
+    }
