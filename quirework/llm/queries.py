@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quirework.llm import ann, bpe, lm, packing, pii, quality, topk, warc
+from quirework.llm import ann, bpe, lm, packing, pii, quality, substring, topk, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_ann": ann.op1,
+        "op2_substring": substring.op2,
         "op3_packing": packing.op3,
         "op4_pii": pii.op4,
         "op5_lm": lm.op5,
@@ -24,6 +25,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op2_substring": substring.OP2_SQL,
         "op5_lm": lm.OP5_SQL,
         "op7_warc": warc.OP7_SQL,
     }
