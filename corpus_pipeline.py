@@ -1,10 +1,84 @@
-"""The corpus pipeline (part of the llm subpackage)."""
+"""The corpus pipeline (part of the llm subpackage): from raw documents to packed training sequences.
 
-from pyspark.sql import DataFrame, SparkSession
+STAGES are applied in order, each over all that its predecessor kept, with its result written as
+Parquet and read again:
+
+* quality: documents that the classifier rejects go; a null text is scored as an empty one.
+* near_duplicates: of the documents linked by shingle similarity, the one with the smallest doc_id
+  stays; of rows that repeat a doc_id one stays; rows without doc_id stay.
+* substrings: passages that an earlier document holds are cut out; a document that loses every word goes.
+* personal_data: entities are replaced by surrogates.
+* packing: the documents as pieces with their places in sequences (the last stage's own columns).
+
+An empty table passes through with no rows. SQL cannot express the stages (ORACLE_SQL is None); their
+tests compare each with a brute-force version.
+"""
+
+from __future__ import annotations
+
+import uuid
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from quirework.llm import jaccard, packing, pii, quality, substring
+from quirework.llm._common import settled, shared_dir
 
-STAGES: list = []
 ORACLE_SQL = None
 
 
+def _retold(docs: DataFrame, columns: list[str]) -> DataFrame:
+    """The columns of documents, with n_chars of the new text."""
+    if "n_chars" in columns:
+        docs = docs.withColumn("n_chars", F.length("text").cast("long"))
+    return docs.select(*columns)
+
+
+def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    model = quality.learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return quality.scored(docs, model).where("predicted = 1").select(*docs.columns)
+
+
+def keep_one(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    found = settled(jaccard.linked(docs).where("doc_id != component_id").select("doc_id").distinct())
+    kept = docs.join(found, "doc_id", "left_anti").select(*docs.columns)
+    if docs.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").isEmpty():
+        return kept
+    order = Window.partitionBy("doc_id").orderBy("text")
+    return kept.withColumn("_row", F.when(F.col("doc_id").isNotNull(), F.row_number().over(order)).otherwise(1)).where("_row = 1").select(*docs.columns)
+
+
+def cut_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    out = substring.deduplicated(docs).where("n_removed = 0 OR n_removed < n_words")
+    return _retold(out, docs.columns)
+
+
+def replace_entities(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return _retold(pii.replaced(docs), docs.columns)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return packing.packed(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+STAGES: list[tuple[str, Stage]] = [
+    ("quality", keep_good),
+    ("near_duplicates", keep_one),
+    ("substrings", cut_passages),
+    ("personal_data", replace_entities),
+    ("packing", pack),
+]
+
+
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """The rows of the last stage over the documents of ``sf_dir``."""
+    base = f"{shared_dir(spark).rstrip('/')}/pipeline-{uuid.uuid4().hex}"
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES:
+        stage(spark, docs, sf_dir).write.parquet(f"{base}/{name}")
+        docs = spark.read.parquet(f"{base}/{name}")
+    return docs

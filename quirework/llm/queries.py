@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quirework.llm import ann, bpe, lm, packing, pii, quality, substring, topk, warc
+from quirework.llm import ann, bpe, jaccard, lm, packing, pii, quality, substring, topk, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -18,6 +18,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_lm": lm.op5,
         "op6_quality": quality.op6,
         "op7_warc": warc.op7,
+        "op8_jaccard": jaccard.op8,
         "op9_topk": topk.op9,
         "op10_bpe": bpe.op10,
     }
