@@ -57,6 +57,19 @@ def _long(small: bytes, big: bytes) -> np.ndarray:
     return counts
 
 
+def _gaps(keys: np.ndarray, base: int) -> bytes:
+    """Sorted distinct keys from ``base`` on as byte planes of the gaps between them, as many as the widest gap needs."""
+    gap = np.diff(keys, prepend=np.uint64(base))
+    wide = max(1, -(-int(gap.max()).bit_length() // 8))
+    return np.ascontiguousarray(gap.view(np.uint8).reshape(-1, 8)[:, :wide].T).tobytes()
+
+
+def _ungaps(raw: bytes, n: int, base: int) -> np.ndarray:
+    gap = np.zeros((n, 8), np.uint8)
+    gap[:, : len(raw) // n] = np.frombuffer(raw, np.uint8).reshape(-1, n).T
+    return np.cumsum(gap.view(np.uint64).ravel(), dtype=np.uint64) + np.uint64(base)
+
+
 def pack(docs: DataFrame) -> DataFrame:
     """One row for each batch of documents."""
 
@@ -107,9 +120,13 @@ def _unpack(row: dict, order: int) -> tuple[np.ndarray, list[np.ndarray]]:
     return sizes, grams(np.frombuffer(row["vocabulary"], np.uint64), _unplanes(row["planes"]), sizes, order)
 
 
+def _base(part: int, parts: int) -> int:
+    return (part << 64) // parts
+
+
 def _ranges(keys: np.ndarray, parts: int) -> np.ndarray:
     """Bounds of the equal ranges of the hash space in sorted keys."""
-    cuts = np.array([(i << 64) // parts for i in range(1, parts)], np.uint64)
+    cuts = np.array([_base(i, parts) for i in range(1, parts)], np.uint64)
     return np.concatenate([[0], np.searchsorted(keys, cuts), [len(keys)]])
 
 
@@ -125,13 +142,13 @@ def totals(packed: DataFrame, order: int) -> DataFrame:
                 cut = _ranges(keys, parts)
                 spans = [(p, a, b) for p, (a, b) in enumerate(zip(cut[:-1], cut[1:], strict=True)) if a < b]
                 short = [_short(counts[a:b]) for _, a, b in spans]
-                yield pa.RecordBatch.from_arrays([pa.array([row["batch"]] * len(spans), pa.int64()), pa.array([p for p, _, _ in spans], pa.int32()), pa.array([keys[a:b].tobytes() for _, a, b in spans], pa.binary()), pa.array([s for s, _ in short], pa.binary()), pa.array([b for _, b in short], pa.binary())], ["batch", "part", "keys", "small", "big"])
+                yield pa.RecordBatch.from_arrays([pa.array([row["batch"]] * len(spans), pa.int64()), pa.array([p for p, _, _ in spans], pa.int32()), pa.array([_gaps(keys[a:b], _base(p, parts)) for p, a, b in spans], pa.binary()), pa.array([s for s, _ in short], pa.binary()), pa.array([b for _, b in short], pa.binary())], ["batch", "part", "keys", "small", "big"])
 
     def table(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list[tuple]] = {}
         for batch in batches:
             for r in batch.to_pylist():
-                held.setdefault(r["part"], []).append((r["batch"], np.frombuffer(r["keys"], np.uint64), _long(r["small"], r["big"])))
+                held.setdefault(r["part"], []).append((r["batch"], _ungaps(r["keys"], len(r["small"]), _base(r["part"], parts)), _long(r["small"], r["big"])))
         for part in sorted(held):
             rows = held.pop(part)
             keys, at = np.unique(np.concatenate([k for _, k, _ in rows]), return_inverse=True)
