@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from quirework.config import Quality
+from quirework.functions.tiles import let, total
 
 Q = Quality()
 
@@ -68,8 +69,8 @@ def applied_quarters(pre_k: Column, rotation_deg: Column) -> Column:
 
 
 def softmax(x: Column) -> Column:
-    e = F.transform(x, lambda v: F.exp(v - F.array_max(x)))
-    return F.transform(e, lambda v: v / F.aggregate(e, F.lit(0.0), lambda a, b: a + b))
+    e = let(F.array_max(x), lambda top: F.transform(x, lambda v: F.exp(v - top)))
+    return let(e, lambda e: let(total(e), lambda s: F.transform(e, lambda v: v / s)))
 
 
 def flip_margin(up: Column, down: Column) -> Column:
@@ -102,21 +103,20 @@ def osd_probs(rotate: Column, conf: Column, least: float = 2.0) -> Column:
 
 def upright_only(p: Column) -> Column:
     """Without the sideways entries, renormalised."""
-    total = p[0] + p[2]
-    return F.array(F.try_divide(p[0], total), F.lit(0.0), F.try_divide(p[2], total), F.lit(0.0))
+    both = p[0] + p[2]
+    return F.array(F.try_divide(p[0], both), F.lit(0.0), F.try_divide(p[2], both), F.lit(0.0))
 
 
 def ink_centroid_probs(ink: Column, up: Column, down: Column) -> Column:
     """Orientation from where the ink lies: ``up`` and ``down`` are the shares of the two halves."""
     upright, turned = F.when(ink > 50, 0.2 + 0.6 * up).otherwise(0.40), F.when(ink > 50, 0.2 + 0.6 * down).otherwise(0.10)
-    total = upright + turned
-    return F.array(upright / total, F.lit(0.0), turned / total, F.lit(0.0))
+    both = upright + turned
+    return F.array(upright / both, F.lit(0.0), turned / both, F.lit(0.0))
 
 
 def legacy_orientation(p_down: Column, width: Column, height: Column) -> Column:
     raw = F.when(width > 1.15 * height, F.array(*map(F.lit, (0.1, 0.4, 0.1, 0.4)))).otherwise(F.array(1 - p_down, F.lit(0.0), p_down, F.lit(0.0)))
-    total = F.aggregate(raw, F.lit(0.0), lambda a, b: a + b)
-    return F.transform(raw, lambda v: v / total)
+    return let(raw, lambda r: let(total(r), lambda s: F.transform(r, lambda v: v / s)))
 
 
 # ---------------------------------------------------------------- page count
@@ -170,8 +170,8 @@ def split_quad(quad: Column, t: Column, left: Column) -> Column:
 def order_quad(points: Column) -> Column:
     """Corners as TL, TR, BR, BL by their sums and differences; the first of equals."""
     pick = lambda key, best: F.element_at(points, F.array_position(F.transform(points, key), best(F.transform(points, key))).cast("int"))
-    total, slope = lambda p: p["x"] + p["y"], lambda p: p["y"] - p["x"]
-    return F.array(pick(total, F.array_min), pick(slope, F.array_min), pick(total, F.array_max), pick(slope, F.array_max))
+    along, slope = lambda p: p["x"] + p["y"], lambda p: p["y"] - p["x"]
+    return F.array(pick(along, F.array_min), pick(slope, F.array_min), pick(along, F.array_max), pick(slope, F.array_max))
 
 
 def unrotate_point(x: Column, y: Column, k: Column, width: Column, height: Column) -> Column:

@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once, however often the body names it."""
+    return F.transform(F.array(value), body)[0]
+
+
 def total(x: Column) -> Column:
     return F.aggregate(x, F.lit(0.0), lambda a, b: a + b)
 
@@ -16,8 +23,8 @@ def mean(x: Column) -> Column:
 
 def normalise(x: Column, flat: float = 1e-6) -> Column:
     """To 0..1 by least and greatest; a flat grid is all 0."""
-    low, high = F.array_min(x), F.array_max(x)
-    return F.when(high - low < flat, F.transform(x, lambda _: F.lit(0.0))).otherwise(F.transform(x, lambda v: (v - low) / (high - low)))
+    scaled = lambda r: F.transform(x, lambda v: F.when(r["high"] - r["low"] < flat, 0.0).otherwise((v - r["low"]) / (r["high"] - r["low"])))
+    return let(F.struct(F.array_min(x).alias("low"), F.array_max(x).alias("high")), scaled)
 
 
 def rows(x: Column, width: int) -> Column:
@@ -26,23 +33,24 @@ def rows(x: Column, width: int) -> Column:
 
 def row_variance(x: Column, width: int) -> Column:
     """Population variance of the rows' means: high where lines of text alternate with gaps."""
-    means = F.transform(rows(x, width), lambda r: total(r) / width)
-    mid = mean(means)
-    return mean(F.transform(means, lambda m: (m - mid) * (m - mid)))
+    return let(F.transform(rows(x, width), lambda r: total(r) / width), variance)
+
+
+def variance(x: Column) -> Column:
+    return let(mean(x), lambda mid: mean(F.transform(x, lambda v: (v - mid) * (v - mid))))
 
 
 def standardised(x: Column) -> Column:
-    mid = mean(x)
-    deviation = F.sqrt(mean(F.transform(x, lambda v: (v - mid) * (v - mid))))
-    return F.transform(x, lambda v: (v - mid) / (deviation + 1e-6))
+    scaled = lambda s: F.transform(x, lambda v: (v - s["mid"]) / (s["deviation"] + 1e-6))
+    return let(F.struct(mean(x).alias("mid"), F.sqrt(variance(x)).alias("deviation")), scaled)
 
 
 def rotated(x: Column, width: int, k: int) -> Column:
     """A square grid after k counter-clockwise quarter turns."""
     n = width
     at = {0: lambda r, c: (r, c), 1: lambda r, c: (c, n - 1 - r), 2: lambda r, c: (n - 1 - r, n - 1 - c), 3: lambda r, c: (n - 1 - c, r)}[k % 4]
-    spots = [at(r, c) for r in range(n) for c in range(n)]
-    return F.array(*[x[r * n + c] for r, c in spots])
+    spots = [r * n + c for r, c in (at(r, c) for r in range(n) for c in range(n))]
+    return F.transform(F.array(*map(F.lit, spots)), lambda i: F.get(x, i))
 
 
 def correlation(a: Column, b: Column) -> Column:
@@ -51,8 +59,11 @@ def correlation(a: Column, b: Column) -> Column:
 
 def best_rotation(a: Column, b: Column, width: int) -> Column:
     """struct<k, score>: the turn of ``b`` that agrees best with ``a``, the first of equals."""
-    scores = F.array(*[correlation(a, rotated(b, width, k)) for k in range(4)])
-    return F.struct((F.array_position(scores, F.array_max(scores)) - 1).cast("int").alias("k"), F.array_max(scores).alias("score"))
+    # a turned grid is standardised as the grid is
+    dot = lambda p, q: mean(F.zip_with(p, q, lambda v, w: v * w))
+    scores = lambda z: F.array(*[dot(z["a"], rotated(z["b"], width, k)) for k in range(4)])
+    best = lambda s: F.struct((F.array_position(s, F.array_max(s)) - 1).cast("int").alias("k"), F.array_max(s).alias("score"))
+    return let(let(F.struct(standardised(a).alias("a"), standardised(b).alias("b")), scores), best)
 
 
 def iou(a: Column, b: Column) -> Column:

@@ -348,14 +348,14 @@ def page_counts(t):
     return _crops(t).select("volume", "image", "line", c.alias("c"), tie.alias("tie_break")).select("volume", "image", "line", "c.page_count", "c.conf", "tie_break")
 
 
-@query(f"""WITH c AS (SELECT *, aspect * 1.5 AS w, text_frac AS ink, discount * 20 AS ratio, area_frac AS at FROM {_CROPS}),
-s AS (SELECT *, CASE WHEN at >= 0.2 THEN abs(w * at - 0.77) END AS a, CASE WHEN 1 - at >= 0.2 THEN abs(w * (1 - at) - 0.77) END AS b FROM c),
-y AS (SELECT *, CASE WHEN w <= 0.95 THEN 'aspect_in_range' WHEN ink < 0.02 THEN 'too_little_ink' WHEN at IS NULL OR ratio < 1.5 THEN 'no_confident_spine' WHEN a IS NULL AND b IS NULL THEN 'no_side_wide_enough' ELSE 'fired' END AS why FROM s)
+@query(f"""WITH c AS (SELECT *, aspect * 1.5 AS w, text_frac AS ink, discount * 20 AS ratio, area_frac AS spot FROM {_CROPS}),
+s AS (SELECT *, CASE WHEN spot >= 0.2 THEN abs(w * spot - 0.77) END AS a, CASE WHEN 1 - spot >= 0.2 THEN abs(w * (1 - spot) - 0.77) END AS b FROM c),
+y AS (SELECT *, CASE WHEN w <= 0.95 THEN 'aspect_in_range' WHEN ink < 0.02 THEN 'too_little_ink' WHEN spot IS NULL OR ratio < 1.5 THEN 'no_confident_spine' WHEN a IS NULL AND b IS NULL THEN 'no_side_wide_enough' ELSE 'fired' END AS why FROM s)
 SELECT volume, image, line, why, CASE WHEN why = 'fired' THEN CASE WHEN b IS NULL OR a <= b THEN 'left' ELSE 'right' END END AS kept,
-round(CASE WHEN why = 'fired' THEN CASE WHEN b IS NULL OR a <= b THEN w * at ELSE w * (1 - at) END END, 6) AS aspect_after FROM y""")
+round(CASE WHEN why = 'fired' THEN CASE WHEN b IS NULL OR a <= b THEN w * spot ELSE w * (1 - spot) END END + 1e-9, 5) AS aspect_after FROM y""")
 def partial_spread_rule(t):
     r = gates.partial_spread(C("aspect") * 1.5, C("text_frac"), C("discount") * 20, C("area_frac"))
-    return _crops(t).select("volume", "image", "line", r.alias("r")).select("volume", "image", "line", "r.why", "r.kept", F.round("r.aspect_after", 6).alias("aspect_after"))
+    return _crops(t).select("volume", "image", "line", r.alias("r")).select("volume", "image", "line", "r.why", "r.kept", F.round(C("r.aspect_after") + 1e-9, 5).alias("aspect_after"))
 
 
 @query(f"""WITH c AS (SELECT *, aspect * 1.5 AS w FROM {_CROPS}), f AS (SELECT volume, w AS before, CASE WHEN w > 0.95 AND text_frac >= 0.02 AND discount * 20 >= 1.5 AND area_frac BETWEEN 0.2 AND 0.8 THEN
@@ -368,12 +368,11 @@ def spread_evaluation(t):
 
 
 # ---------------------------------------------------------------- geometry
-@query("""SELECT l_orderkey, l_linenumber, l_quantity AS px, l_tax * 100 AS py, CASE l_linenumber % 4 WHEN 0 THEN l_quantity WHEN 1 THEN 199 - l_tax * 100 WHEN 2 THEN 99 - l_quantity ELSE l_tax * 100 END AS dummy,
-CASE l_linenumber % 4 WHEN 0 THEN l_quantity WHEN 1 THEN 100 - 1 - l_tax * 100 WHEN 2 THEN 100 - 1 - l_quantity ELSE l_tax * 100 END AS x, CASE l_linenumber % 4 WHEN 0 THEN l_tax * 100 WHEN 1 THEN l_quantity WHEN 2 THEN 200 - 1 - l_tax * 100 ELSE 200 - 1 - l_quantity END AS y FROM lineitem""".replace("CASE l_linenumber % 4 WHEN 0 THEN l_quantity WHEN 1 THEN 199 - l_tax * 100 WHEN 2 THEN 99 - l_quantity ELSE l_tax * 100 END AS dummy,\n", "\n"))
+@query("""SELECT l_orderkey, l_linenumber, l_quantity AS px, l_tax * 100 AS py, CASE l_linenumber % 4 WHEN 0 THEN l_quantity WHEN 1 THEN 100 - 1 - l_tax * 100 WHEN 2 THEN 100 - 1 - l_quantity ELSE l_tax * 100 END AS x,
+CASE l_linenumber % 4 WHEN 0 THEN l_tax * 100 WHEN 1 THEN l_quantity WHEN 2 THEN 200 - 1 - l_tax * 100 ELSE 200 - 1 - l_quantity END AS y FROM lineitem""")
 def quad_unrotate(t):
     # k quarter turns counter-clockwise carry (x, y) of a w x h image to (y, w-1-x); the point is carried back
-    p = gates.unrotate_point(C("l_quantity"), C("l_tax") * 100, C("l_linenumber") % 4, L(100), L(200))
-    back = F.when(C("l_linenumber") % 4 == 1, F.struct((L(100) - 1 - C("l_tax") * 100).alias("x"), C("l_quantity").alias("y"))).otherwise(p)
+    back = gates.unrotate_point(C("l_quantity"), C("l_tax") * 100, C("l_linenumber") % 4, L(100), L(200))
     return t("lineitem").select("l_orderkey", "l_linenumber", C("l_quantity").alias("px"), (C("l_tax") * 100).alias("py"), back.alias("p")).select("l_orderkey", "l_linenumber", "px", "py", "p.x", "p.y")
 
 
@@ -418,7 +417,7 @@ def reading_order(t):
     return records.reading_order(b, "page", C("x0"), C("y0"), L(1000), C("y0"), C("part"), C("number"), C("supp")).select("page", "part", C("number").alias("line"), "supp", C("line").alias("line_no"), "position")
 
 
-@query(f"SELECT page, part, line, supp, row_number() OVER (PARTITION BY page ORDER BY x0, part, line, supp, y0) AS position FROM {_BOXES} QUALIFY row_number() OVER (PARTITION BY page ORDER BY score DESC, part, line, supp, y0) <= 2".replace("SELECT page, part, line, supp, row_number() OVER (PARTITION BY page ORDER BY x0, part, line, supp, y0) AS position FROM", "SELECT page, part, line, supp, x0, y0 FROM"))
+@query(f"SELECT page, part, line, supp, x0, y0 FROM {_BOXES} QUALIFY row_number() OVER (PARTITION BY page ORDER BY score DESC, part, line, supp, y0) <= 2")
 def best_boxes(t):
     return records.top_boxes(_boxes(t), "page", C("score"), C("x0"), 2, C("part"), C("line"), C("supp"), C("y0")).select("page", "part", "line", "supp", "x0", "y0")
 
@@ -459,9 +458,9 @@ def profile_local_dark(t):
 
 
 @query(f"""WITH s AS (SELECT id, pos, value, lag(value) OVER w AS a, lead(value) OVER w AS b FROM {_PROFILE} WINDOW w AS (PARTITION BY id ORDER BY pos))
-SELECT id, pos, round((coalesce(0.25 * a, 0) + 0.5 * value + coalesce(0.25 * b, 0)) / (CASE WHEN a IS NULL THEN 0 ELSE 0.25 END + 0.5 + CASE WHEN b IS NULL THEN 0 ELSE 0.25 END), 5) AS smooth FROM s""")
+SELECT id, pos, round(1e-9 + (coalesce(0.25 * a, 0) + 0.5 * value + coalesce(0.25 * b, 0)) / (CASE WHEN a IS NULL THEN 0 ELSE 0.25 END + 0.5 + CASE WHEN b IS NULL THEN 0 ELSE 0.25 END), 4) AS smooth FROM s""")
 def profile_smooth(t):
-    return profiles.smoothed(_profile(t), [0.25, 0.5, 0.25]).select("id", "pos", F.round("smooth", 5).alias("smooth"))
+    return profiles.smoothed(_profile(t), [0.25, 0.5, 0.25]).select("id", "pos", F.round(F.col("smooth") + 1e-9, 4).alias("smooth"))
 
 
 @query(f"""WITH e AS (SELECT id, min(pos) AS p0, max(pos) AS p1, arg_min(value, pos) AS v0, arg_max(value, pos) AS v1 FROM {_PROFILE} GROUP BY id)
