@@ -40,14 +40,16 @@ SHINGLE = 5
 #: Two sets link when 100 * intersection >= PERCENT * union.
 PERCENT = 75
 #: A shingle is common when one batch holds it in so many sets; so many of the most common are known to all.
-COMMON, COMMON_KEPT = 8, 1 << 16
-_TOP = np.uint64(1 << 63)
+COMMON, COMMON_KEPT = 4, 1 << 18
+#: Shingles have 60 bits; the 4 above hold the class of common ones (the logarithm of their count), 0 for others.
+_SHIFT = np.uint64(60)
+_BITS = np.uint64((1 << 60) - 1)
 _PREFIX = "sid long, n int, tokens binary, places binary, edge long"
 
 
 # ---------------------------------------------------------------- sets
 def shingles(data: np.ndarray, offs: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """The shingles of every text (63 bits, with repeats), and the bounds of each text in them."""
+    """The shingles of every text (60 bits, with repeats), and the bounds of each text in them."""
     words, before = word_hashes(data, offs, lower=True)
     n = np.diff(before)
     count = np.where(n >= k, n - k + 1, np.minimum(n, 1))
@@ -59,31 +61,37 @@ def shingles(data: np.ndarray, offs: np.ndarray, k: int) -> tuple[np.ndarray, np
     short = np.flatnonzero((n > 0) & ~long)
     if len(short):
         out[bounds[short]] = mix(_span_hash(words, before[short], before[short + 1], _WORD_BASE) + n[short].astype(np.uint64))
-    return out >> np.uint64(1), bounds
+    return out >> np.uint64(4), bounds
 
 
 class Common:
-    """The shingles that come last in the global order."""
+    """The shingles that come last in the global order, the more frequent the later."""
 
-    def __init__(self, tokens: np.ndarray):
-        self.tokens = np.sort(tokens)
-        self.hint = np.zeros(1 << 20, bool)
-        self.hint[(self.tokens >> np.uint64(43)).astype(np.int64)] = True
+    def __init__(self, tokens: np.ndarray, counts: np.ndarray):
+        order = np.argsort(tokens)
+        self.tokens = tokens[order]
+        level = np.log2(np.maximum(counts[order], 1) / COMMON).astype(np.int64) + 1
+        self.level = np.clip(level, 1, 15).astype(np.uint64) << _SHIFT
+        self.hint = np.zeros(1 << 22, bool)
+        self.hint[(self.tokens >> np.uint64(38)).astype(np.int64)] = True
 
     def __call__(self, x: np.ndarray) -> np.ndarray:
-        out = self.hint[(x >> np.uint64(43)).astype(np.int64)]
-        maybe = np.flatnonzero(out)
-        if len(maybe):
-            at = np.minimum(np.searchsorted(self.tokens, x[maybe]), len(self.tokens) - 1)
-            out[maybe] = self.tokens[at] == x[maybe]
+        """The shingles with their class."""
+        maybe = np.flatnonzero(self.hint[(x >> np.uint64(38)).astype(np.int64)])
+        if not len(maybe):
+            return x
+        at = np.minimum(np.searchsorted(self.tokens, x[maybe]), len(self.tokens) - 1)
+        same = self.tokens[at] == x[maybe]
+        out = x.copy()
+        out[maybe[same]] |= self.level[at[same]]
         return out
 
 
 def ordered_sets(data: np.ndarray, offs: np.ndarray, k: int, common: Common | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct shingles of every text in the global order, common ones with the top bit set, and bounds."""
+    """The distinct shingles of every text in the global order, with the class of common ones, and bounds."""
     flat, bounds = shingles(data, offs, k)
     if common is not None and len(common.tokens):
-        flat = np.where(common(flat), flat | _TOP, flat)
+        flat = common(flat)
     for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
         flat[a:b].sort()
     new = np.ones(len(flat), bool)
@@ -94,7 +102,7 @@ def ordered_sets(data: np.ndarray, offs: np.ndarray, k: int, common: Common | No
 
 def set_ids(flat: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """A 64-bit id of each set, whatever the order of its shingles; 0 for empty sets."""
-    sums = np.r_[np.uint64(0), np.cumsum(mix(flat & ~_TOP), dtype=np.uint64)]
+    sums = np.r_[np.uint64(0), np.cumsum(mix(flat & _BITS), dtype=np.uint64)]
     n = np.diff(bounds)
     return np.where(n > 0, np.maximum(mix(sums[bounds[1:]] - sums[bounds[:-1]] + n.astype(np.uint64)), 1), 0).astype(np.uint64).view(np.int64)
 
@@ -449,8 +457,8 @@ def linked(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
     """doc_id, n_shingles and component_id of every row of ``docs``."""
     spark = docs.sparkSession
     table = spooled(members(docs.select("doc_id", "text"), k), "members")
-    counted = table.where("n < 0").groupBy(F.col("sid").alias("token")).agg(F.sum("n").alias("n")).orderBy("n", "token").limit(COMMON_KEPT).collect()  # a bounded list, for the order alone
-    common = spark.sparkContext.broadcast(Common(np.array([r["token"] for r in counted], np.int64).view(np.uint64)))
+    counted = table.where("n < 0").groupBy(F.col("sid").alias("token")).agg(F.sum("n").alias("n")).orderBy("n", "token").limit(COMMON_KEPT).toArrow()  # a bounded list, for the order alone
+    common = spark.sparkContext.broadcast(Common(counted.column("token").to_numpy().view(np.uint64), -counted.column("n").to_numpy()))
     table = table.where("n >= 0")
     sets = spooled(table.where("n > 0 AND doc_id IS NOT NULL").groupBy("sid").agg(F.min("doc_id").alias("least"), F.max("n").alias("n")), "sets")
     shared = sets.agg(F.sum("n")).first()[0] or 0
