@@ -161,7 +161,8 @@ def load_spec(path: str) -> str:
 
 
 def encode(docs: DataFrame, vocabulary: str, text: str = "text") -> DataFrame:
-    """``docs`` with the columns ``ids`` (array of int) and ``decoded`` (string) added."""
+    """``docs`` with the columns ``ids`` (array of int) and ``decoded`` (string), which replace columns of those names."""
+    docs = docs.drop("ids", "decoded")
     spec = docs.sparkSession.sparkContext.broadcast(load_spec(vocabulary))  # a vocabulary file: a few MB
     schema = docs.schema.simpleString()[len("struct<") : -1]
 
@@ -179,6 +180,7 @@ def encode(docs: DataFrame, vocabulary: str, text: str = "text") -> DataFrame:
 
 def decode(rows: DataFrame, vocabulary: str, ids: str = "ids") -> DataFrame:
     """``rows`` with the column ``decoded``: the tokens of ``ids`` joined by spaces; unknown ids are left out."""
+    rows = rows.drop("decoded")
     spec = rows.sparkSession.sparkContext.broadcast(load_spec(vocabulary))
     schema = rows.schema.simpleString()[len("struct<") : -1]
 

@@ -206,7 +206,8 @@ def exceptions(found: DataFrame, key: str) -> DataFrame:
 
 
 def replaced(docs: DataFrame, key: str = KEY, few: int = FEW) -> DataFrame:
-    """``docs`` with the entities of ``text`` replaced and their number as ``n_entities``."""
+    """``docs`` with the entities of ``text`` replaced and their number as ``n_entities``, which replaces a column of that name."""
+    docs = docs.drop("n_entities", "_odd", "_key")
     odd = settled(exceptions(settled(entities(docs)), key))
     schema = docs.schema.simpleString()[len("struct<") : -1]
 

@@ -178,7 +178,8 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
 
 
 def scored(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` with ``score`` (0 to 1) and ``predicted`` (1 from a score of 0.5)."""
+    """``docs`` with ``score`` (0 to 1) and ``predicted`` (1 from a score of 0.5), which replace columns of those names."""
+    docs = docs.drop("score", "predicted")
     schema = docs.schema.simpleString()[len("struct<") : -1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

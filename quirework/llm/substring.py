@@ -186,7 +186,8 @@ def marked(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 
 
 def deduplicated(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """``docs`` with the covered words cut out of ``text`` (the white space between kept words stays), n_words and n_removed."""
+    """``docs`` with the covered words cut out of ``text`` (the white space between kept words stays), n_words and n_removed, which replace columns of those names."""
+    docs = docs.drop("n_words", "n_removed", "_marks", "_id", "_hash")
     schema = docs.schema.simpleString()[len("struct<") : -1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -80,7 +80,7 @@ def documents(n=240):
 
 def test_quality_on_held_out_rows(spark):
     rows = documents()
-    docs = spark.createDataFrame([r[:2] for r in rows] + [(None, "x"), (990, None), (991, "")], "doc_id long, text string").withColumn("source", F.lit("s"))
+    docs = spark.createDataFrame([r[:2] for r in rows] + [(None, "x"), (990, None), (991, "")], "doc_id long, text string").withColumn("source", F.lit("s")).withColumn("score", F.lit("mine"))
     labels = spark.createDataFrame([(r[0], r[2]) for r in rows] + [(5, 1), (None, 1)], "doc_id long, quality int")
     out = quality.scored(docs, quality.learn(docs, labels)).withColumn("held", quality.held_out(F.col("doc_id"))).collect()
     truth = {r[0]: r[2] for r in rows}
