@@ -7,8 +7,8 @@ estimates in one set only are left out (none that two sets share are).
 
 Index lists hold (size, position) blocks. Answers come in two rounds:
 
-1. In every list each set meets only the list's first set of about its size (its hub). These pairs are
-   checked; linked sets form components. A pair's overlap within both prefixes already bounds the
+1. In every list each set meets only one set of about its size, the one with the fewest shingles of its
+   own (its hub). These pairs are checked; linked sets form components. A pair's overlap within both prefixes already bounds the
    distance of the sets; where that bound does not decide, the whole sets are compared.
 2. Only pairs from different components are left. A list whose sets lie in one component is skipped
    whole; in others, blocks of other sizes or beyond the last useful position are skipped. The answer
@@ -221,10 +221,25 @@ def _pairs(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], ["a", "b"])
 
 
+def _sized(a: np.ndarray, b: np.ndarray, n: np.ndarray, m: np.ndarray) -> pa.RecordBatch:
+    """Distinct pairs in order with the sizes of both sets."""
+    swap = a > b
+    rows = np.stack([np.where(swap, b, a), np.where(swap, a, b), np.where(swap, m, n), np.where(swap, n, m)], axis=1)
+    order = np.lexsort((rows[:, 1], rows[:, 0]))
+    rows = rows[order]
+    new = np.ones(len(rows), bool)
+    new[1:] = (rows[1:, :2] != rows[:-1, :2]).any(axis=1)
+    rows = rows[new]
+    return pa.RecordBatch.from_arrays([pa.array(rows[:, 0]), pa.array(rows[:, 1]), pa.array(rows[:, 2], pa.int32()), pa.array(rows[:, 3], pa.int32())], ["a", "b", "n", "m"])
+
+
 def _hubs(key: np.ndarray, sid: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Heads of the lists in (key, sid) order, and the pairs of hubs with others whose sizes can match."""
-    order = np.lexsort((sid, key))
-    k, s, m = key[order], sid[order], n[order]
+    """Heads of the lists in (key, odd share, sid) order, and the pairs of hubs with others whose sizes can match.
+
+    ``n`` holds the size in its low 32 bits and the odd share above. The hub is the set with the least odd
+    share: in a group of near copies that is the text that the others were made from, and all link to it."""
+    order = np.lexsort((sid, n >> 32, key))
+    k, s, m = key[order], sid[order], n[order] & 0xFFFFFFFF
     new = np.ones(len(k), bool)
     new[1:] = k[1:] != k[:-1]
     head = np.maximum.accumulate(np.where(new, np.arange(len(k)), 0))
@@ -241,14 +256,17 @@ def hub_pairs(prefix: DataFrame) -> DataFrame:
         order = np.argsort(part, kind="stable")
         own, heads = np.unique(part[order], return_index=True)
         bounds = np.r_[heads, len(order)]
-        return pa.RecordBatch.from_arrays([pa.array(own, pa.int32()), binary_column(key[order], bounds), binary_column(sid[order], bounds), binary_column(n[order].astype(np.int32), bounds)], ["part", "keys", "sids", "sizes"])
+        return pa.RecordBatch.from_arrays([pa.array(own, pa.int32()), binary_column(key[order], bounds), binary_column(sid[order], bounds), binary_column(n[order].astype(np.int64), bounds)], ["part", "keys", "sids", "sizes"])
 
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            tokens, sid, n, _, _ = _flat(batch)
+            tokens, sid, n, _, count = _flat(batch)
             if not len(tokens):
                 continue
             band = np.floor(np.log(n) / np.log(100 / PERCENT)).astype(np.uint64)
+            # the share of a set's prefix that no other set holds, in thousandths
+            odd = 1000 - 1000 * np.repeat(count, count) // prefix_length(n.astype(np.int64))
+            n = n.astype(np.int64) | odd << 32
             key = mix(tokens + band * np.uint64(0x9E3779B97F4A7C15))
             heads, a, b = _hubs(key, sid, n)
             yield row((key[heads] % np.uint64(parts)).astype(np.int64), key[heads], sid[heads], n[heads])
@@ -257,18 +275,18 @@ def hub_pairs(prefix: DataFrame) -> DataFrame:
             # pairs found already: key 0 and the two ids one after the other
             if len(a):
                 spot = (mix(b.view(np.uint64)) % np.uint64(parts)).astype(np.int64)
-                yield row(np.repeat(spot, 2), np.zeros(2 * len(a), np.uint64), np.stack([a, b], axis=1).ravel(), np.zeros(2 * len(a), np.int32))
+                yield row(np.repeat(spot, 2), np.zeros(2 * len(a), np.uint64), np.stack([a, b], axis=1).ravel(), np.zeros(2 * len(a), np.int64))
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = []
         for batch in batches:
             key, _ = flat_binary(batch.column("keys"), np.uint64)
             sid, _ = flat_binary(batch.column("sids"), np.int64)
-            n, _ = flat_binary(batch.column("sizes"), np.int32)
+            n, _ = flat_binary(batch.column("sizes"), np.int64)
             known = sid[key == 0].reshape(-1, 2)
             if len(known):
                 yield _pairs(known[:, 0], known[:, 1])
-            held.append((key[key != 0], sid[key != 0], n[key != 0].astype(np.int64)))
+            held.append((key[key != 0], sid[key != 0], n[key != 0]))
         if held:
             yield _pairs(*_hubs(*(np.concatenate(x) for x in zip(*held, strict=True)))[1:])
 
@@ -277,7 +295,7 @@ def hub_pairs(prefix: DataFrame) -> DataFrame:
 
 
 def cross_pairs(prefix: DataFrame, component: DataFrame) -> DataFrame:
-    """(a, b): the pairs of sets in different components that some list leaves possible."""
+    """(a, b, n, m): the pairs of sets in different components that some list leaves possible, with their sizes."""
     parts = shuffle_partitions(prefix.sparkSession)
     rows = prefix.select("sid", "n", "tokens", "places").join(component.select(F.col("node").alias("sid"), "component"), "sid", "left")
     rows = rows.withColumn("component", F.coalesce("component", "sid"))
@@ -321,7 +339,7 @@ def cross_pairs(prefix: DataFrame, component: DataFrame) -> DataFrame:
     lists = rows.mapInArrow(entries, "token long, sid long, n int, place int, component long").join(tokens, "token", "left_semi")
     lists = lists.repartition("token").sortWithinPartitions("token", "n", "place")
 
-    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest: list[pa.RecordBatch] = []
         for batch in batches:
             rest.append(batch)
@@ -334,7 +352,20 @@ def cross_pairs(prefix: DataFrame, component: DataFrame) -> DataFrame:
         if rest:
             yield from possible(pa.Table.from_batches(rest).combine_chunks())
 
-    return lists.mapInArrow(meet, "a long, b long").distinct()
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+        for pairs in found(batches):  # a pair that many lists hold leaves the task once
+            held.append(pairs)
+            n += pairs.num_rows
+            if n > 1 << 20:
+                held = [_sized(*(np.concatenate([p.column(i).to_numpy() for p in held]) for i in range(4)))]
+                if (n := held[0].num_rows) > 1 << 19:
+                    yield held[0]
+                    held, n = [], 0
+        if held:
+            yield _sized(*(np.concatenate([p.column(i).to_numpy() for p in held]) for i in range(4)))
+
+    return lists.mapInArrow(meet, "a long, b long, n int, m int").distinct()
 
 
 def possible(table: pa.Table, room: int = 1 << 20) -> Iterator[pa.RecordBatch]:
@@ -370,7 +401,8 @@ def possible(table: pa.Table, room: int = 1 << 20) -> Iterator[pa.RecordBatch]:
         for p, q in _rooms(size, room):
             a, y = np.repeat(x[p:q], size[p:q]), ragged(head[b[p:q]], size[p:q])
             keep = (own[a] != own[y]) & (sid[a] != sid[y])
-            yield _pairs(sid[a[keep]], sid[y[keep]])
+            a, y = a[keep], y[keep]
+            yield _sized(sid[a], sid[y], n[a], n[y])
 
 
 def _rooms(count: np.ndarray, room: int) -> Iterator[tuple[int, int]]:
@@ -479,8 +511,6 @@ def linked(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
 
     cross = spooled(cross_pairs(prefix, component), "cross")
     cross = cross.join(far.select("a", "b"), ["a", "b"], "left_anti")
-    sizes = prefix.select("sid", "n")
-    cross = cross.join(sizes.withColumnRenamed("sid", "a"), "a").join(sizes.select(F.col("sid").alias("b"), F.col("n").alias("m")), "b")
     for x, y in (("a", "b"), ("b", "a")):
         derived = far.select(F.col("a").alias("hub"), F.col("b").alias(y), F.col("apart").alias("theirs"))
         cross = cross.join(hub.withColumnRenamed("a", x), x, "left").join(derived, ["hub", y], "left")
