@@ -34,15 +34,33 @@ KEY = "quirework"
 _MALE = ("Mr", "Sir", "Herr", "Herrn", "Monsieur", "Señor", "Sr", "господин", "κύριος")
 _FEMALE = ("Mrs", "Ms", "Miss", "Madam", "Frau", "Madame", "Mme", "Mlle", "Señora", "Señorita", "Sra", "госпожа", "κυρία")
 _ADDRESS = {**dict.fromkeys(_MALE, "m"), **dict.fromkeys(_FEMALE, "f")}
+_IPV4 = r"(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\d|\.\d)"
+_IPV6 = r"(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![0-9A-Fa-f:])"
+# Digits after the country code, for codes whose full numbers have one length; such a number ends there.
+_LENGTHS = {
+    8: "45 47 65 216 370 371 372 852",
+    9: "27 31 33 34 41 48 51 56 61 94 212 233 254 351 380 420 421 593 886 966 971",
+    10: "7 44 52 57 58 63 82 90 91 92 98 234",
+    11: "86",
+}
+# Between two groups of a phone number: a space does not lead into an address or a number with its own marks.
+_GAP = rf"(?:[.-]| (?!{_IPV4}|{_IPV6}|\d+[,:/]\d))"
+_JOIN = rf"(?:\)?{_GAP}\(?|\)|\()"
+_FULL = "|".join(rf"(?:{codes.replace(' ', '|')})(?:{_GAP}?\(0\))?{_JOIN}?\d(?:(?:{_JOIN}(?=\d\)?\d))?\d){{{n - 1}}}" for n, codes in _LENGTHS.items())
+_PHONE = "|".join([
+    rf"(?<![\w.+])\+(?:1{_GAP}?(?:\(\d{{3}}\)|\d{{3}}){_GAP}?\d{{3}}{_GAP}?\d{{4}}|{_FULL})(?!\d)",
+    rf"(?<![\w.+])\+\d{{1,3}}{_GAP}?(?:\(\d{{1,4}}\){_GAP}?)?\d{{2,4}}(?:{_GAP}?\d{{2,4}}){{1,3}}(?!\d)",
+    r"(?<![\w.])\(\d{3}\)[ .-]?\d{3}[ .-]\d{4}(?!\d)|(?<![\w.-])\d{3}[ .-]\d{3}[ .-]\d{4}(?!\d)",
+])
 _PATTERNS = [
     ("email", re.compile(r"[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}")),
     ("key", re.compile(r"(?<![A-Za-z0-9])(?:AKIA|ASIA)[0-9A-Z]{16}(?![A-Za-z0-9])|(?<![A-Za-z0-9])(?:ghp|gho|ghs)_[A-Za-z0-9]{36}(?![A-Za-z0-9])|(?<![A-Za-z0-9])sk_live_[A-Za-z0-9]{16,}")),
     ("secret", re.compile(r"""(?i)(?<![a-z])(?:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key)["']?\s*[=:]\s*["']?(?P<v>[^\s"',;]{6,})""")),
     ("iban", re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")),
     ("card", re.compile(r"(?<![\d.-])[3-6]\d{3}[ -]?\d{4}[ -]?\d{4}[ -]?\d{3,4}(?!\d)|(?<![\d.-])3[47]\d{2}[ -]?\d{6}[ -]?\d{5}(?!\d)")),
-    ("phone", re.compile(r"(?<![\w.+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,3}(?!\d)|(?<![\w.])\(\d{3}\)[ .-]?\d{3}[ .-]\d{4}(?!\d)|(?<![\w.-])\d{3}[ .-]\d{3}[ .-]\d{4}(?!\d)")),
+    ("phone", re.compile(_PHONE)),
     ("ssn", re.compile(r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])")),
-    ("ip", re.compile(r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\d|\.\d)|(?<![0-9A-Fa-f:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![0-9A-Fa-f:])")),
+    ("ip", re.compile(rf"(?<![\d.]){_IPV4}|(?<![0-9A-Fa-f:]){_IPV6}")),
 ]
 _NAME = re.compile(rf"(?<!\w)(?P<a>{'|'.join(sorted(_ADDRESS, key=len, reverse=True))})\.? (?P<n>[^\W\d_][^\W\d_'’-]+(?:[ -][^\W\d_][^\W\d_'’-]+)?)")
 _SYLLABLES = {

@@ -125,6 +125,22 @@ def test_surrogates(spark, few):
     assert (out[4].text, out[5].text) == ("", None)
 
 
+@pytest.mark.parametrize("phone", ["+1 (826) 555-4081", "+1-826-555-4081", "+18265554081", "+44 20 7946 0958", "+45 12 34 56 78", "+380 44 123 45 67"])
+@pytest.mark.parametrize("after", ["190.137.223.204", "17", "2024", "190 pages", "13,500", "4111 1111 1111 1111", "555-123-4567", "2001:db8:0:0:0:0:0:1"])
+def test_phone_ends_before_the_next_number(phone, after):
+    text = f"call {phone} {after}"
+    spans = pii.find(text)
+    assert text[slice(*spans[0][:2])] == phone and spans[0][2:] == pii.find(phone)[0][2:]
+    assert [text[a:b] for a, b, *_ in spans[1:]] == ([after] if len(after) > 9 else [])
+
+
+def test_phones_of_codes_with_several_lengths():
+    for text in ("+49 30 1234 5678 190.137.223.204", "+49 30 1234 5678 13,500", "+49 (30) 1234-5678"):
+        assert text[slice(*pii.find(text)[0][:2])] in ("+49 30 1234 5678", "+49 (30) 1234-5678")
+    assert [s[2] for s in pii.find("+12 190.137.223.204")] == ["ip"]
+    assert [s[2] for s in pii.find("+91-80-2345 6789 and +33 612 34 56 78 and +1 23 45")] == ["phone"] * 3
+
+
 def test_clashing_surrogates_are_told_apart(spark, monkeypatch):
     found = spark.createDataFrame([("ssn", f"{i:03d}") for i in range(150)], "kind string, form string")
     real = {f"{i:03d}" for i in range(150)}
