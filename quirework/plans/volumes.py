@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import time
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
@@ -54,7 +55,7 @@ def records_of(results: DataFrame) -> DataFrame:
     return rows.select(keys.crop_key(F.col("source_key"), F.col("label")).alias("crop"), "source_key", "label", "is_blank", "needs_review", "review_reasons", F.round("blank_conf", 3).alias("blank_conf"), F.round("orientation_conf", 3).alias("orientation_conf"), F.round("text_frac", 4).alias("text_frac"), F.round("rotation_deg", 2).alias("rotation_deg"), "ocr_rescued").orderBy("crop")
 
 
-def run(spark: SparkSession, config: dict, volume: str, service: jobs.Service, out: str, now: str, steps: list[str] | None = None, dry_run: bool = False, submit: bool = True, limit: int | None = None, head_set: str = "classical") -> Run:
+def run(spark: SparkSession, config: dict, volume: str, service: jobs.Service, out: str, now: str, steps: list[str] | None = None, dry_run: bool = False, submit: bool = True, limit: int | None = None, head_set: str = "classical", sleep: Callable[[float], None] = time.sleep) -> Run:
     """One volume from photographs to archived transcripts. The review report is written before anything is submitted."""
     separator = config["source"].get("separator", "-")
     name = volume.rstrip(separator) if separator else volume
@@ -78,7 +79,7 @@ def run(spark: SparkSession, config: dict, volume: str, service: jobs.Service, o
         return state
     title = name.removeprefix(config["api"].get("strip_prefix", "")).rstrip(separator or None)
     try:
-        found = jobs.run(service, jobs.metadata(config, title, steps or ["transcribe"]), wanted, sleep=lambda _: None)
+        found = jobs.run(service, jobs.metadata(config, title, steps or ["transcribe"]), wanted, sleep=sleep)
     except (jobs.JobFailed, TimeoutError, SystemExit) as e:
         state.error = str(e)
         return state

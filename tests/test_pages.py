@@ -1,3 +1,6 @@
+import inspect
+import time
+
 import numpy as np
 import pytest
 
@@ -158,6 +161,13 @@ def test_volume(spark, shelf, tmp_path):
     assert [r.volume for r in runs] == ["a"]
 
 
+def test_volume_waits_between_polls(spark, shelf, tmp_path):
+    slept, s = [], Service()
+    volumes.run(spark, CONFIG | {"source": {"path": shelf}}, "176899-", s, str(tmp_path / "w"), "now", sleep=slept.append)
+    assert slept == [5.0, 5.0] and s.ready
+    assert inspect.signature(volumes.run).parameters["sleep"].default is time.sleep
+
+
 def test_jobs():
     assert jobs.with_steps(["metadata", "transcribe"]) == ["foliate", "metadata", "transcribe"]
     tried, slept = [], []
