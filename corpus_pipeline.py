@@ -5,7 +5,8 @@ Parquet and read again:
 
 * quality: documents that the classifier rejects go; a null text is scored as an empty one.
 * near_duplicates: of the documents linked by shingle similarity, the one with the smallest doc_id
-  stays; of rows that repeat a doc_id one stays; rows without doc_id stay.
+  stays; rows that repeat a doc_id are documents of their own, of which one stays where they are linked
+  or equal; rows without doc_id stay.
 * substrings: passages that an earlier document holds are cut out; a document that loses every word goes.
 * personal_data: entities are replaced by surrogates.
 * packing: the documents as pieces with their places in sequences (the last stage's own columns).
@@ -23,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quirework.llm import jaccard, packing, pii, quality, substring
-from quirework.llm._common import settled, shared_dir
+from quirework.llm._common import settled, shared_dir, spooled
 
 ORACLE_SQL = None
 
@@ -41,12 +42,16 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_one(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = settled(jaccard.linked(docs).where("doc_id != component_id").select("doc_id").distinct())
-    kept = docs.join(found, "doc_id", "left_anti").select(*docs.columns)
     if docs.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").isEmpty():
-        return kept
-    order = Window.partitionBy("doc_id").orderBy("text")
-    return kept.withColumn("_row", F.when(F.col("doc_id").isNotNull(), F.row_number().over(order)).otherwise(1)).where("_row = 1").select(*docs.columns)
+        found = settled(jaccard.linked(docs).where("doc_id != component_id").select("doc_id").distinct())
+        return docs.join(found, "doc_id", "left_anti").select(*docs.columns)
+    # ids do not tell the rows apart: each is decided by the component of its set
+    known = jaccard.linked(docs, sets=True).where("doc_id IS NOT NULL AND n_shingles > 0").select("sid", "component", F.col("component_id").alias("_least")).distinct()
+    rows = jaccard.with_sets(docs).join(spooled(known, "known"), "sid", "left").where("doc_id IS NULL OR sid = 0 OR doc_id = _least")
+    # what is left of a component are the rows of its smallest doc_id; texts without words are compared as they stand
+    order = Window.partitionBy("doc_id", "component", F.when(F.col("sid") == 0, F.col("text"))).orderBy("text")
+    first = F.when(F.col("doc_id").isNotNull(), F.row_number().over(order)).otherwise(1)
+    return rows.withColumn("_row", first).where("_row = 1").select(*docs.columns)
 
 
 def cut_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

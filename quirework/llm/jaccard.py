@@ -158,6 +158,18 @@ def members(docs: DataFrame, k: int) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n long, sid long")
 
 
+def with_sets(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
+    """``docs`` with the id of each row's set as ``sid`` (0 for empty sets)."""
+    schema = docs.schema.simpleString()[len("struct<") : -1]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text"):
+            sid = set_ids(*ordered_sets(*text_buffers(batch.column(batch.schema.get_field_index("text"))), k))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(sid)], [*batch.schema.names, "sid"])
+
+    return docs.mapInArrow(run, f"{schema}, sid long")
+
+
 def prefixes(docs: DataFrame, k: int, common, width: int) -> DataFrame:
     """_PREFIX rows: of each set the prefix shingles that may be shared, their places, and the last prefix shingle."""
     texts = _text(docs)
@@ -485,8 +497,8 @@ def _ids(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.col("a").alias("sid")).unionByName(pairs.select(F.col("b").alias("sid"))).distinct()
 
 
-def linked(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
-    """doc_id, n_shingles and component_id of every row of ``docs``."""
+def linked(docs: DataFrame, k: int = SHINGLE, sets: bool = False) -> DataFrame:
+    """doc_id, n_shingles and component_id of every row of ``docs``; with ``sets`` also sid and component, which tell sets that share a doc_id apart."""
     spark = docs.sparkSession
     table = spooled(members(docs.select("doc_id", "text"), k), "members")
     counted = table.where("n < 0").groupBy(F.col("sid").alias("token")).agg(F.sum("n").alias("n")).orderBy("n", "token").limit(COMMON_KEPT).toArrow()  # a bounded list, for the order alone
@@ -522,10 +534,10 @@ def linked(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
 
     named = sets.join(component.withColumnRenamed("node", "sid"), "sid", "left").select("sid", "least", F.coalesce("component", "sid").alias("component"))
     least = spooled(named.groupBy("component").agg(F.min("least").alias("component_id")), "ids")
-    named = spooled(named.join(least, "component").select("sid", "component_id"), "named")
+    named = spooled(named.join(least, "component").select("sid", "component_id", *(["component"] if sets else [])), "named")
     out = table.join(named, "sid", "left")
     own = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
-    return out.select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"))
+    return out.select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"), *(["sid", "component"] if sets else []))
 
 
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -215,3 +215,13 @@ def test_pipeline_stages(spark, tmp_path):
     assert "555-4827" not in " ".join(r.text or "" for r in kept["personal_data"].values())
     assert kept["personal_data"][21].n_chars == len(kept["personal_data"][21].text)
     assert set(kept["packing"]) == set(kept["personal_data"])
+
+
+def test_rows_that_share_an_id_are_decided_by_their_texts(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    rows = [(5, a), (5, b), (7, b + " more"), (6, c), (6, c), (8, c.upper() + " x"), (4, a + " y"), (9, None), (9, None), (9, ""), (9, " "), (None, a), (None, a)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = sorted(map(tuple, corpus_pipeline.keep_one(spark, docs, "").collect()), key=str)
+    assert kept == sorted([(4, a + " y"), (5, b), (6, c), (9, None), (9, ""), (9, " "), (None, a), (None, a)], key=str)
+    docs = spark.createDataFrame([(5, a), (5, b), (7, b + " more")], "doc_id long, text string")
+    assert sorted(map(tuple, corpus_pipeline.keep_one(spark, docs, "").collect())) == [(5, a), (5, b)]
