@@ -4,7 +4,8 @@ A bounded sample of labelled documents (``SAMPLE`` of each label at most, the sm
 doc_id) gives preference pairs, good over bad; a document's strength is linear in its text features,
 and the weights minimise the logistic loss on feature differences. The strength that cuts the labelled
 population where its share of bad documents lies (a score quantile) is the threshold; a logistic curve
-through it makes strengths scores. Features see the whole text and nothing else.
+through it makes strengths scores. Threshold and slope are quantiles over all labelled documents that are
+not held out, beyond the sample too. Features see the whole text and nothing else.
 
 Null and empty texts are scored like any (their counts are 0); without labels of both kinds every score
 is the share of good labels (0.5 without any); labels that contradict each other for one document count
@@ -14,20 +15,22 @@ as bad; rows with a null doc_id are scored but never held out nor learned from.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quirework.llm._common import slices, text_buffers, word_bounds, word_hashes
+from quirework.llm._common import slices, spooled, text_buffers, word_bounds, word_hashes
 
 #: Labelled documents learned from, of each label.
 SAMPLE = 10_000
 #: Preference pairs per learned document.
 PAIRS = 4
 RIDGE = 1e-3
+#: Bins of strengths counted at a time when a quantile is looked for.
+BINS = 1 << 12
 
 _CLASSES = {
     "lower": b"abcdefghijklmnopqrstuvwxyz",
@@ -159,6 +162,51 @@ def _vectors(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "good", "text").mapInArrow(run, "doc_id long, good int, x array<double>")
 
 
+def strengths(docs: DataFrame, known: DataFrame, model: Model) -> DataFrame:
+    """(good, s) of every document with a label in ``known``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text"):
+            s = model.strength(features(*text_buffers(batch.column("text"))))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(s)], ["doc_id", "s"])
+
+    # texts stay where they are: only ids and strengths meet the labels
+    return spooled(docs.select("doc_id", "text").mapInArrow(run, "doc_id long, s double").join(known, "doc_id").select("good", "s"), "strengths")
+
+
+def first_beyond(rows: DataFrame, target: float, weight: tuple[float, float] = (1.0, 1.0)) -> tuple[float, float]:
+    """Of the sorted strengths (bad before good where equal) the first at which the weight so far exceeds ``target``, or the last, and before it the one below.
+
+    Exact: the bin that holds it is divided again until its strengths are one."""
+    low, high = rows.agg(F.min("s"), F.max("s")).first()
+    below, bad, good = low, 0, 0
+    while True:
+        place = F.floor((F.col("s") - F.lit(low)) / F.lit(high - low) * BINS) if high > low else F.lit(0)
+        inside = rows.where(F.col("s").between(low, high)).groupBy(place.alias("bin"))
+        bins = inside.agg(F.count_if(F.col("good") == 0).alias("bad"), F.count_if(F.col("good") == 1).alias("good"), F.min("s").alias("low"), F.max("s").alias("high")).orderBy("bin").collect()
+        so_far = np.cumsum([(b["bad"], b["good"]) for b in bins], axis=0) + (bad, good)
+        at = min(int(np.searchsorted(so_far @ weight, target, "right")), len(bins) - 1)
+        if at:
+            below, (bad, good) = bins[at - 1]["high"], so_far[at - 1].tolist()
+        low, high = bins[at]["low"], bins[at]["high"]
+        if low == high:
+            # the run of equal strengths: bad ones first, from the first of them or from a later one on
+            head = (bad + 1, good) if bins[at]["bad"] else (bad, good + 1)
+            return (below if np.dot(head, weight) > target or bins[at]["bad"] + bins[at]["good"] == 1 else low), low
+
+
+def placed(model: Model, rows: DataFrame, n_good: int, n_bad: int) -> Model:
+    """The model with the threshold and slope of all ``rows`` (good, s)."""
+    n = {r["good"]: r["n"] for r in rows.groupBy("good").agg(F.count("*").alias("n")).collect()}
+    threshold = float(np.mean(first_beyond(rows, n_bad, (n_bad / n[0], n_good / n[1]))))
+    ends = []
+    for q in (0.25, 0.75):
+        place = (n[0] + n[1] - 1) * q
+        a, b = first_beyond(rows, int(place) + 1)
+        ends.append(a + (b - a) * (place - int(place)))
+    return replace(model, threshold=threshold, slope=4.0 / (ends[1] - ends[0] + 1e-9))
+
+
 def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """A model from the labels that are not held out."""
     known = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
@@ -174,7 +222,8 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     y = np.array([r["good"] for r in rows])
     if not (y == 0).any() or not (y == 1).any():
         return constant(float(y.mean()) if len(y) else 0.5)
-    return fit(x[y == 1], x[y == 0], n[1], n[0])
+    model = fit(x[y == 1], x[y == 0], n[1], n[0])
+    return model if max(n.values()) <= sample else placed(model, strengths(docs, known, model), n[1], n[0])
 
 
 def scored(docs: DataFrame, model: Model) -> DataFrame:

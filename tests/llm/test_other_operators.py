@@ -97,6 +97,29 @@ def test_quality_without_labels(spark):
     assert quality.scored(docs.limit(0), quality.constant(0.5)).count() == 0
 
 
+def test_threshold_is_of_all_labelled_rows(spark):
+    rows = documents(300)
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, quality int")
+    model = quality.learn(docs, labels, sample=20)
+    known = labels.where(~quality.held_out(F.col("doc_id"))).withColumnRenamed("quality", "good")
+    own = quality.strengths(docs, known, model).collect()
+    s, n_bad = np.sort([r.s for r in own]), sum(r.good == 0 for r in own)
+    assert len(own) > 150 and n_bad > 40
+    assert np.isclose(model.threshold, (s[n_bad - 1] + s[n_bad]) / 2, rtol=1e-12)
+    assert np.isclose(model.slope, 4.0 / (np.quantile(s, 0.75) - np.quantile(s, 0.25) + 1e-9), rtol=1e-9)
+
+
+def test_first_beyond(spark, monkeypatch):
+    monkeypatch.setattr(quality, "BINS", 4)
+    rng = random.Random(5)
+    own = [(rng.randint(0, 1), rng.choice([0.5, 1.0, 1.0 + 2**-52, -3.0, rng.gauss(0, 9)])) for _ in range(40)]
+    rows = spark.createDataFrame(own, "good int, s double").coalesce(1).cache()
+    s = sorted(x for _, x in own)
+    for target in (0, 1, 17, 38, 39):
+        assert quality.first_beyond(rows, target) == (s[max(target - 1, 0)], s[target])
+
+
 # ---------------------------------------------------------------- personal data
 TEXTS = [
     "Mrs. Anna Schmidt met Herr Otto KRAUSE. Frau Schmidt said 4111 1111 1111 1111 and 4111111111111111.",
