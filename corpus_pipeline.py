@@ -46,7 +46,7 @@ def keep_one(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         found = settled(jaccard.linked(docs).where("doc_id != component_id").select("doc_id").distinct())
         return docs.join(found, "doc_id", "left_anti").select(*docs.columns)
     # ids do not tell the rows apart: each is decided by the component of its set
-    known = jaccard.linked(docs, sets=True).where("doc_id IS NOT NULL AND n_shingles > 0").select("sid", "component", F.col("component_id").alias("_least")).distinct()
+    known = jaccard.linked(docs, named_sets=True).where("doc_id IS NOT NULL AND n_shingles > 0").select("sid", "component", F.col("component_id").alias("_least")).distinct()
     rows = jaccard.with_sets(docs).join(spooled(known, "known"), "sid", "left").where("doc_id IS NULL OR sid = 0 OR doc_id = _least")
     # what is left of a component are the rows of its smallest doc_id; texts without words are compared as they stand
     order = Window.partitionBy("doc_id", "component", F.when(F.col("sid") == 0, F.col("text"))).orderBy("text")

@@ -497,8 +497,8 @@ def _ids(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.col("a").alias("sid")).unionByName(pairs.select(F.col("b").alias("sid"))).distinct()
 
 
-def linked(docs: DataFrame, k: int = SHINGLE, sets: bool = False) -> DataFrame:
-    """doc_id, n_shingles and component_id of every row of ``docs``; with ``sets`` also sid and component, which tell sets that share a doc_id apart."""
+def linked(docs: DataFrame, k: int = SHINGLE, named_sets: bool = False) -> DataFrame:
+    """doc_id, n_shingles and component_id of every row of ``docs``; with ``named_sets`` also sid and component, which tell sets that share a doc_id apart."""
     spark = docs.sparkSession
     table = spooled(members(docs.select("doc_id", "text"), k), "members")
     counted = table.where("n < 0").groupBy(F.col("sid").alias("token")).agg(F.sum("n").alias("n")).orderBy("n", "token").limit(COMMON_KEPT).toArrow()  # a bounded list, for the order alone
@@ -534,10 +534,10 @@ def linked(docs: DataFrame, k: int = SHINGLE, sets: bool = False) -> DataFrame:
 
     named = sets.join(component.withColumnRenamed("node", "sid"), "sid", "left").select("sid", "least", F.coalesce("component", "sid").alias("component"))
     least = spooled(named.groupBy("component").agg(F.min("least").alias("component_id")), "ids")
-    named = spooled(named.join(least, "component").select("sid", "component_id", *(["component"] if sets else [])), "named")
+    named = spooled(named.join(least, "component").select("sid", "component_id", *(["component"] if named_sets else [])), "named")
     out = table.join(named, "sid", "left")
     own = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
-    return out.select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"), *(["sid", "component"] if sets else []))
+    return out.select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"), *(["sid", "component"] if named_sets else []))
 
 
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
