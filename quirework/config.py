@@ -42,6 +42,12 @@ class Geometry:
     orient_margin: float = 0.15
     trim_border: bool = True
     tight_text: bool = False
+    white_out: bool = False
+    tight_box: bool = True
+    dewarp: bool = False
+    dewarp_curvature: float = 0.03
+    #: Pages, masks and seams are found on a copy whose long side has so many pixels at most.
+    find_size: int = 1500
 
 
 @dataclass(frozen=True)

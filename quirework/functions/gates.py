@@ -119,6 +119,16 @@ def legacy_orientation(p_down: Column, width: Column, height: Column) -> Column:
     return let(raw, lambda r: let(total(r), lambda s: F.transform(r, lambda v: v / s)))
 
 
+def legacy_turn(two: Column, width: Column, height: Column) -> Column:
+    """Quarter turns of the old baseline: an upright spread or a sideways page is turned by three."""
+    return F.when(F.when(two, height > width).otherwise(width > height), 3).otherwise(0)
+
+
+def masks_used(learned_share: Column, least: float = 0.05) -> Column:
+    """Whether the learned mask replaces the others: only if it covers anything to speak of."""
+    return F.coalesce(learned_share > least, F.lit(False))
+
+
 # ---------------------------------------------------------------- page count
 def two_pages(width: Column, height: Column, shadow: Column) -> Column:
     """The geometric rule for an open spread."""
@@ -147,6 +157,41 @@ def halves(width: Column, height: Column, overlap: float = 0.04) -> Column:
     return F.array(box(F.lit(0), F.least(width, mid + extra)), box(F.greatest(F.lit(0), mid - extra), width))
 
 
+def gutter_band(left_x1: Column, left_x2: Column, right_x1: Column, right_x2: Column, width: Column, margin: float = 0.04, half: float = 0.08, least: int = 8) -> Column:
+    """struct<low, high>: where the seam between two page boxes is looked for; boxes that touch or overlap give a band about their middle."""
+    middle = F.floor((left_x1 + left_x2 + right_x1 + right_x2) / 4)
+    reach = F.greatest(F.floor(half * width), F.lit(least))
+    apart, pad = right_x1 > left_x2, F.floor(margin * width)
+    return F.struct(
+        F.greatest(F.lit(0), F.when(apart, left_x2 - pad).otherwise(middle - reach)).cast("long").alias("low"),
+        F.least(width, F.when(apart, right_x1 + pad).otherwise(middle + reach)).cast("long").alias("high"),
+    )
+
+
+def crop_box(candidate: Column, width: Column, height: Column) -> Column:
+    """A candidate crop (struct of x0, y0, x1, y1), or the full frame where the method finds none."""
+    full = F.struct(F.lit(0).cast("long").alias("x0"), F.lit(0).cast("long").alias("y0"), width.cast("long").alias("x1"), height.cast("long").alias("y1"))
+    return F.coalesce(candidate, full)
+
+
+def canvas_place(width: Column, height: Column, canvas_width: Column, canvas_height: Column) -> Column:
+    """struct<x, y>: where a crop stands in the middle of its volume's canvas."""
+    return F.struct(F.floor((canvas_width - width) / 2).alias("x"), F.floor((canvas_height - height) / 2).alias("y"))
+
+
+def straight_size(quad: Column) -> Column:
+    """struct<width, height> of the upright page that a quad (TL, TR, BR, BL) is straightened to."""
+    side = lambda a, b: F.hypot(quad[a]["x"] - quad[b]["x"], quad[a]["y"] - quad[b]["y"])
+    whole = lambda x: (F.bround(x, 0) + 1).cast("long")
+    return F.struct(whole(F.greatest(side(0, 1), side(3, 2))).alias("width"), whole(F.greatest(side(0, 3), side(1, 2))).alias("height"))
+
+
+def turned_size(width: Column, height: Column, degrees: Column) -> Column:
+    """struct<width, height> of the frame that holds an image after a rotation."""
+    c, s = F.abs(F.cos(F.radians(degrees))), F.abs(F.sin(F.radians(degrees)))
+    return F.struct(F.bround(height * s + width * c, 0).cast("long").alias("width"), F.bround(height * c + width * s, 0).cast("long").alias("height"))
+
+
 def partial_spread(aspect: Column, ink: Column, ratio: Column, at: Column, high: float = 0.95, least_ink: float = 0.02, least_ratio: float = 1.5, least_side: float = 0.2, target: float = 0.77) -> Column:
     """struct<why, kept, aspect_after>: a crop that also shows part of the facing page is cut at the spine.
 
@@ -192,7 +237,7 @@ def padded_size(width: Column, height: Column, ratio: float = 2.4) -> Column:
 
 def page_extent(top: Column, bottom: Column, width: Column, height: Column, high: float = 0.80) -> Column:
     """struct<top, bottom>: a page box made tall enough for its width, within the frame; room missing on one side is taken on the other."""
-    need = F.least(height, F.ceil(width / high))
+    need = F.least(height, F.bround(width / high))
     extra = F.greatest(F.lit(0), need - (bottom - top))
     up = F.least(top, F.floor(extra / 2))
     down = F.least(height - bottom, extra - up)
@@ -202,4 +247,4 @@ def page_extent(top: Column, bottom: Column, width: Column, height: Column, high
 
 def shape_flags(aspect: Column, width: Column, height: Column, mean: Column, white: Column) -> Column:
     """What looks wrong about a crop."""
-    return reasons((aspect < 0.5, "sliver"), (aspect >= 1.0, "landscape"), (F.least(width, height) < 200, "tiny"), (mean < 70, "dark"), (white > 0.55, "mostly_white"))
+    return reasons((aspect < 0.5, "sliver"), (aspect >= 1.0, "landscape"), (F.least(width, height) < 200, "tiny"), (mean < 70, "dark"), (white > 0.55, "mostly-white"))

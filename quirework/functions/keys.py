@@ -35,6 +35,18 @@ def coord_key(key: Column, label: Column, prefix: str = "") -> Column:
     return F.concat(F.lit(prefix), root(key), label, F.lit(".json"))
 
 
+def dashed_key(key: Column, label: Column, prefix: str = "") -> Column:
+    """The older style: base name only, the label after a dash."""
+    return F.concat(F.lit(prefix), stem(key), F.when(label != "", F.concat(F.lit("-"), label)).otherwise(""), F.lit(".jpg"))
+
+
+def artefact_name(kind: Column, key: Column) -> Column:
+    """The file name of a downloaded artefact: that of its key, or its kind; the known kinds get their extension where it is missing."""
+    name = F.when(F.coalesce(key, F.lit("")) == "", F.concat(F.lit("artifact_"), kind)).otherwise(basename(key))
+    extension = F.when(kind == "json", ".json").when(kind == "markdown", ".md").when(kind == "tables_zip", ".zip").otherwise("")
+    return F.when(F.endswith(name, extension), name).otherwise(F.concat(name, extension))
+
+
 def expected_keys(key: Column, prefix: str = "") -> Column:
     """Every crop key that a source may have led to, as an array."""
     return F.array(*[crop_key(key, F.lit(label), prefix) for label in LABELS])

@@ -66,6 +66,23 @@ def best_rotation(a: Column, b: Column, width: int) -> Column:
     return let(let(F.struct(standardised(a).alias("a"), standardised(b).alias("b")), scores), best)
 
 
+def share(x: Column, holds) -> Column:
+    """The share of a grid's cells for which a condition holds."""
+    return F.size(F.filter(x, holds)) / F.size(x)
+
+
+def edge_share(x: Column, width: int, ink: int) -> Column:
+    """struct<top, bottom, left, right>: the share of cells darker than ``ink`` along each side."""
+    rows = F.size(x) / width
+
+    def side(inside, cells: Column) -> Column:
+        on = F.transform(x, lambda v, i: (v < ink) & inside(F.floor(i / width), i % width))
+        return F.size(F.filter(on, lambda v: v)) / cells
+
+    whole = F.lit(width)
+    return F.struct(side(lambda r, c: r == 0, whole).alias("top"), side(lambda r, c: r == rows - 1, whole).alias("bottom"), side(lambda r, c: c == 0, rows).alias("left"), side(lambda r, c: c == width - 1, rows).alias("right"))
+
+
 def iou(a: Column, b: Column) -> Column:
     """(intersection + 1) / (union + 1) of two 0/1 grids."""
     return (total(F.zip_with(a, b, lambda p, q: p * q)) + 1) / (total(F.zip_with(a, b, lambda p, q: F.greatest(p, q))) + 1)

@@ -33,12 +33,23 @@ def deepest(profile: DataFrame, group: str = "id", pos: str = "pos", low: float
 
 
 def smoothed(profile: DataFrame, weights: list[float], group: str = "id", pos: str = "pos", value: str = "value") -> DataFrame:
-    """Adds ``smooth``: a weighted mean over neighbours; the weights of missing neighbours are left out."""
-    w, half = _along(group, pos), len(weights) // 2
-    parts = [(F.lag(value, half - i).over(w), float(x)) for i, x in enumerate(weights)]
-    top = sum((F.coalesce(v * x, F.lit(0.0)) for v, x in parts), F.lit(0.0))
-    below = sum((F.when(v.isNotNull(), x).otherwise(0.0) for v, x in parts), F.lit(0.0))
-    return profile.withColumn("smooth", top / below)
+    """Adds ``smooth``: a weighted sum over neighbours; beyond an end the profile is mirrored without repeating its last value.
+
+    A profile is one row or column of one image: it is collected under its key."""
+    half = len(weights) // 2
+    rows = profile.groupBy(group).agg(F.sort_array(F.collect_list(F.struct(F.col(pos).alias("p"), F.col(value).alias("v")))).alias("_all")).withColumn("_n", F.size("_all"))
+
+    def at(i: Column) -> Column:
+        ahead = F.abs(i)  # mirrored at the first value, then at the last
+        back = F.when(ahead < F.col("_n"), ahead).otherwise(2 * (F.col("_n") - 1) - ahead)
+        return F.get("_all", F.greatest(F.lit(0), back).cast("int"))["v"]
+
+    def mixed(i: Column) -> Column:
+        first, *rest = (at(i + k - half) * float(w) for k, w in enumerate(weights))
+        return sum(rest, first)
+
+    smooth = F.transform(F.sequence(F.lit(0), F.col("_n") - 1), lambda i: F.struct(F.get("_all", i)["p"].alias(pos), F.get("_all", i)["v"].alias(value), mixed(i).alias("smooth")))
+    return rows.select(group, F.inline(smooth))
 
 
 def local_stats(profile: DataFrame, half: int, group: str = "id", pos: str = "pos", value: str = "value") -> DataFrame:
@@ -49,7 +60,25 @@ def local_stats(profile: DataFrame, half: int, group: str = "id", pos: str = "po
     return profile.withColumn("local_mean", mean).withColumn("local_std", std).withColumn("dark", (mean - F.col(value) > 6).cast("int"))
 
 
-def sauvola(mean: Column, std: Column, k: float = 0.2, reach: float = 128.0) -> Column:
+def priors(profile: DataFrame, group: str = "id", pos: str = "pos", value: str = "smooth") -> DataFrame:
+    """``valley``: the least value in the middle fifth of a smoothed profile against its median; a deep one shows an open spread."""
+    placed = profile.withColumn("_i", F.row_number().over(_along(group, pos)) - 1).withColumn("_n", F.count("*").over(_whole(group)))
+    inside = (F.col("_i") >= F.floor(0.4 * F.col("_n"))) & (F.col("_i") < F.floor(0.6 * F.col("_n")))
+    out = placed.groupBy(group).agg(F.median(value).alias("_m"), F.min(F.when(inside, F.col(value))).alias("_low"))
+    mid = F.col("_m") + 1e-6
+    return out.select(group, (F.coalesce("_low", mid) / mid).alias("valley"))
+
+
+def spine(profile: DataFrame, group: str = "id", pos: str = "pos", value: str = "smooth", low: float = 0.18, high: float = 0.82, floor: float = 0.05) -> DataFrame:
+    """The place of the greatest value in the inner part of each profile (the first of equals) and its ratio to the median, which counts as ``floor`` at least."""
+    placed = profile.withColumn("_i", F.row_number().over(_along(group, pos)) - 1).withColumn("_n", F.count("*").over(_whole(group)))
+    inside = (F.col("_i") >= F.floor(low * F.col("_n"))) & (F.col("_i") < F.floor(high * F.col("_n")))
+    best = F.max(F.when(inside, F.struct(F.col(value).alias("v"), (-F.col("_i")).alias("i")))).alias("_b")
+    out = placed.groupBy(group).agg(F.median(value).alias("_m"), best)
+    return out.where("_b IS NOT NULL").select(group, (-F.col("_b.i")).cast("long").alias("place"), (F.col("_b.v") / F.greatest("_m", F.lit(floor))).alias("ratio"))
+
+
+def sauvola(mean: Column, std: Column, k: float = 0.15, reach: float = 128.0) -> Column:
     return mean * (1 + k * (std / reach - 1))
 
 

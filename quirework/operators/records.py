@@ -24,6 +24,28 @@ def resume_by_stem(sources: DataFrame, done: DataFrame, key: str = "source_key",
     return sources.withColumn("_stem", keys.stem(F.col(key))).join(stems, "_stem", "left_anti").drop("_stem")
 
 
+def resume_local(sources: DataFrame, existing: DataFrame, key: str = "source_key", name: str = "name") -> DataFrame:
+    """Sources whose crop (``stem.jpg``) or left crop (``stem-A.jpg``) is not there yet; a right crop alone shows a broken run and counts for nothing."""
+    done = existing.select(F.col(name).alias("_file")).distinct()
+    wanted = sources.select(key, F.explode(F.array(*(F.concat(keys.stem(F.col(key)), F.lit(end)) for end in (".jpg", "-A.jpg")))).alias("_file"))
+    return sources.join(wanted.join(done, "_file", "left_semi").select(key).distinct(), key, "left_anti")
+
+
+def with_review(crops: DataFrame, manifest: DataFrame, name: str = "file", flag: str = "needs_review") -> DataFrame:
+    """Crops with their review flag from the manifest; one that it does not list is not flagged."""
+    return crops.join(manifest.select(name, flag), name, "left").withColumn(flag, F.coalesce(flag, F.lit(False)))
+
+
+def flagged_for(crops: DataFrame, reasons: Column, reason: str) -> DataFrame:
+    return crops.where(F.array_contains(reasons, reason))
+
+
+def with_place(crops: DataFrame, coords: DataFrame, originals: DataFrame) -> DataFrame:
+    """Crops with their place in an original that is there; a crop without coords, place or original is left out."""
+    known = coords.where("source_key IS NOT NULL AND source_size IS NOT NULL AND crop_quad_norm IS NOT NULL")
+    return crops.join(known, "crop").join(originals, "source_key")
+
+
 def unioned(new: DataFrame, carried: DataFrame) -> DataFrame:
     """New and carried records; what one side lacks is null there."""
     return new.unionByName(carried, allowMissingColumns=True)

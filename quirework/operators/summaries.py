@@ -29,18 +29,22 @@ def review_report(crops: DataFrame, volume: str, crop: Column, blank: Column, re
 
 
 def volume_norm(crops: DataFrame, volume: str, aspect: Column, confident: Column, width: Column, height: Column) -> DataFrame:
-    """Per volume: the median aspect of its confident crops (of all, if there are none) and the canvas that fits all."""
+    """Per volume: the median aspect of its confident crops (of all, if there are none) and a canvas of that aspect that holds every crop."""
     rows = crops.select(F.col(volume), aspect.alias("_a"), confident.alias("_c"), width.alias("_w"), height.alias("_h"))
-    return rows.groupBy(volume).agg(
+    out = rows.groupBy(volume).agg(
         F.coalesce(F.median(F.when(F.col("_c"), F.col("_a"))), F.median("_a")).alias("norm"),
-        F.max("_w").alias("canvas_width"), F.max("_h").alias("canvas_height"), F.count("*").alias("n"),
+        F.max("_w").alias("_w"), F.max("_h").alias("_h"), F.count("*").alias("n"),
     )
+    whole = lambda x: F.bround(x, 0).cast("long")
+    out = out.withColumn("_cw", F.greatest(F.col("_w").cast("long"), whole(F.col("_h") * F.col("norm"))))
+    out = out.withColumn("canvas_height", F.greatest(whole(F.col("_cw") / F.col("norm")), F.col("_h").cast("long")))
+    return out.withColumn("canvas_width", F.greatest("_cw", whole(F.col("canvas_height") * F.col("norm")))).select(volume, "norm", "canvas_width", "canvas_height", "n")
 
 
 def suspects(crops: DataFrame, norms: DataFrame, volume: str, aspect: Column, limit: float = 0.12) -> DataFrame:
     """Each crop's deviation from its volume's norm, and whether that is suspect."""
     out = crops.withColumn("_a", aspect).join(norms.select(volume, "norm"), volume)
-    return out.withColumn("deviation", F.abs(F.col("_a") - F.col("norm")) / F.col("norm")).withColumn("suspect", F.col("deviation") > limit).drop("_a")
+    return out.withColumn("deviation", F.abs(F.col("_a") - F.col("norm"))).withColumn("suspect", F.col("deviation") > limit).drop("_a")
 
 
 def volume_qa(crops: DataFrame, volume: str, source: Column, label: Column, aspect: Column, review: Column, blank: Column) -> DataFrame:
@@ -84,11 +88,62 @@ def reason_counts(rows: DataFrame, reasons: Column) -> DataFrame:
     return rows.select(F.explode(reasons).alias("reason")).groupBy("reason").agg(F.count("*").alias("n"))
 
 
-def changed(before: DataFrame, after: DataFrame, key: str, value: str, group: str, least: float = 0.0) -> DataFrame:
-    """Per group: rows in both sets, how many changed by more than ``least``, and their share in percent."""
-    both = before.select(group, key, F.col(value).alias("_a")).join(after.select(key, F.col(value).alias("_b")), key)
+def changed(before: DataFrame, after: DataFrame, key: str, value: str, group: str, least: float = 0.0, shape: list[str] | None = None) -> DataFrame:
+    """Per group: rows in both sets, how many changed by more than ``least``, their share in percent and their keys.
+
+    Rows that differ in a column of ``shape`` cannot be compared and are left out."""
+    shape = shape or []
+    both = before.select(group, key, F.col(value).alias("_a"), *shape).join(after.select(key, F.col(value).alias("_b"), *shape), [key, *shape])
     moved = F.abs(F.col("_a") - F.col("_b")) > least
-    return both.groupBy(group).agg(F.count("*").alias("n"), F.count_if(moved).alias("changed"), (100.0 * F.count_if(moved) / F.count("*")).alias("percent"))
+    return both.groupBy(group).agg(F.count("*").alias("n"), F.count_if(moved).alias("changed"), (100.0 * F.count_if(moved) / F.count("*")).alias("percent"), F.sort_array(F.collect_list(F.when(moved, F.col(key)))).alias("names"))
+
+
+def output_summary(crops: DataFrame, source: Column, page_count: Column, width: Column, height: Column, mean: Column, review: Column, blank: Column, placed: Column) -> DataFrame:
+    """One row about an output folder: sources, crops by page count, review and blank counts, the aspects, the crops that
+    look wrong (landscape, longer than the transcription backend takes, or dark) and those whose place in the source is known."""
+    aspect, longest, shortest = width / height, F.greatest(width, height), F.least(width, height)
+    rows = crops.select(source.alias("s"), page_count.alias("c"), aspect.alias("a"), ((aspect >= 1.0) | (longest > 2.41 * shortest) | (mean < 45)).alias("w"), review.alias("r"), blank.alias("b"), placed.alias("p"))
+    return rows.agg(
+        F.countDistinct("s").alias("sources"), F.count("*").alias("crops"), F.count_if(F.col("c") == "one_folio").alias("one_folio"), F.count_if(F.col("c") == "two_folios").alias("two_folios"),
+        F.count_if("r").alias("needs_review"), F.count_if("b").alias("is_blank"), F.min("a").alias("aspect_min"), F.max("a").alias("aspect_max"),
+        F.count_if(F.col("a") < 1).alias("portrait"), F.count_if("w").alias("odd"), F.count_if("p").alias("with_provenance"),
+    )
+
+
+def prefix_counters(crops: DataFrame, volume: str, source: str, review: Column, blank: Column) -> DataFrame:
+    """Per volume: images, images with any flagged crop, and crops that are blank or flagged."""
+    image = crops.groupBy(volume, source).agg(F.bool_or(review).alias("any"), F.count_if(blank).alias("_b"), F.count_if(review).alias("_f"))
+    return image.groupBy(volume).agg(F.count("*").alias("images"), F.count_if("any").alias("review"), F.sum("_b").alias("blank"), F.sum("_f").alias("flagged"))
+
+
+def legibility(words: DataFrame, page: str, text: Column, conf: Column) -> DataFrame:
+    """How well each page reads: the sum of confidence times characters over the words that were read."""
+    return words.groupBy(page).agg(F.coalesce(F.sum(conf * F.length(text)), F.lit(0.0)).alias("score"))
+
+
+def outliers_left_out(boxes: DataFrame, page: str, outlier: float = 3.0) -> DataFrame:
+    """The lines of each page without those much farther from the median centre than most are; of fewer than four all stay."""
+    rows = boxes.withColumns({"_cx": (F.col("x0") + F.col("x1")) / 2, "_cy": (F.col("y0") + F.col("y1")) / 2})
+    mid = rows.groupBy(page).agg(F.median("_cx").alias("_mx"), F.median("_cy").alias("_my"), F.count("*").alias("_n"))
+    dx, dy = F.col("_cx") - F.col("_mx"), F.col("_cy") - F.col("_my")
+    rows = rows.join(mid, page).withColumn("_d", F.sqrt(dx * dx + dy * dy))
+    rows = rows.join(rows.groupBy(page).agg(F.median("_d").alias("_m")), page).withColumn("_o", F.abs(F.col("_d") - F.col("_m")))
+    rows = rows.join(rows.groupBy(page).agg(F.median("_o").alias("_mad")), page)
+    return rows.where((F.col("_n") < 4) | (F.col("_d") <= F.col("_m") + outlier * (F.col("_mad") + 1e-6))).select(*boxes.columns)
+
+
+def text_region(boxes: DataFrame, page: str, width: Column, height: Column, margin: float = 0.02, trim: bool = False, least: float = 0.45, outlier: float = 3.0) -> DataFrame:
+    """One box around all of a page's lines and a margin (a share of the page's diagonal), in whole pixels within the page.
+
+    A page whose box is small against it is left out. With ``trim`` lines much farther from the median centre than most are."""
+    rows = (outliers_left_out(boxes, page, outlier) if trim else boxes).withColumns({"_w": width, "_h": height})
+    out = rows.groupBy(page).agg(F.max("_w").alias("_w"), F.max("_h").alias("_h"), *(best(c).alias(f"_{c}") for best, c in ((F.min, "x0"), (F.min, "y0"), (F.max, "x1"), (F.max, "y1"))))
+    pad = margin * F.hypot("_h", "_w")
+    out = out.select(
+        page, "_w", "_h", *(F.greatest(F.lit(0), F.floor(F.col(f"_{c}") - pad)).cast("long").alias(c) for c in ("x0", "y0")),
+        F.least(F.col("_w").cast("long"), F.floor(F.col("_x1") + pad)).cast("long").alias("x1"), F.least(F.col("_h").cast("long"), F.floor(F.col("_y1") + pad)).cast("long").alias("y1"),
+    )
+    return out.where((F.col("x1") - F.col("x0") >= least * F.col("_w")) & (F.col("y1") - F.col("y0") >= least * F.col("_h"))).drop("_w", "_h")
 
 
 def box_union(boxes: DataFrame, page: str, margin: float = 0.0, trim: float | None = None) -> DataFrame:

@@ -12,6 +12,33 @@ def gray(image: np.ndarray) -> np.ndarray:
     return (image @ np.array([0.114, 0.587, 0.299], np.float32)).astype(np.float32)
 
 
+_LINEAR = np.arange(256) / 255.0
+_LINEAR = np.where(_LINEAR <= 0.04045, _LINEAR / 12.92, ((_LINEAR + 0.055) / 1.055) ** 2.4).astype(np.float32)
+# sRGB primaries and white (D65) as XYZ shares of white, columns for B, G, R.
+_XYZ = np.array([[0.189828, 0.376219, 0.433953], [0.072169, 0.715160, 0.212671], [0.872766, 0.109477, 0.017758]], np.float32)
+
+
+def _cube(t: np.ndarray) -> np.ndarray:
+    return np.where(t > 0.008856, np.cbrt(t), 7.787 * t + 16 / 116)
+
+
+def lab(image: np.ndarray) -> np.ndarray:
+    """CIE L*a*b* of a BGR image with all three scaled to 0..255 (a and b about 128), as float32."""
+    f = _cube(_LINEAR[image] @ _XYZ.T)
+    l = 116 * f[..., 1] - 16
+    return np.stack([l * 2.55, 500 * (f[..., 0] - f[..., 1]) + 128, 200 * (f[..., 1] - f[..., 2]) + 128], axis=-1).astype(np.float32)
+
+
+def from_lab(x: np.ndarray) -> np.ndarray:
+    """The BGR image of L*a*b* values as :func:`lab` has them."""
+    fy = (x[..., 0] / 2.55 + 16) / 116
+    f = np.stack([fy + (x[..., 1] - 128) / 500, fy, fy - (x[..., 2] - 128) / 200], axis=-1)
+    t = np.where(f > 0.206893, f**3, (f - 16 / 116) / 7.787)
+    v = np.clip(t @ np.linalg.inv(_XYZ).T, 0, 1)
+    v = np.where(v <= 0.0031308, 12.92 * v, 1.055 * v ** (1 / 2.4) - 0.055)
+    return np.clip(np.round(v * 255), 0, 255).astype(np.uint8)
+
+
 # ---------------------------------------------------------------- filters
 def convolve(x: np.ndarray, weights: np.ndarray, axis: int, mode: str = "reflect") -> np.ndarray:
     """Correlation along one axis; the border is mirrored without repeating the edge, or ``mode`` as numpy.pad has it."""
@@ -69,6 +96,46 @@ def sobel(x: np.ndarray) -> np.ndarray:
     return np.hypot(convolve(convolve(x, ramp, 1), hat, 0), convolve(convolve(x, ramp, 0), hat, 1))
 
 
+def canny(g: np.ndarray, low: float, high: float) -> np.ndarray:
+    """Thin edges: crests of the gradient (sum of both magnitudes) above ``low`` that hang together with one above ``high``."""
+    ramp, hat = np.array([-1, 0, 1]), np.array([1, 2, 1])
+    gx, gy = convolve(convolve(g, ramp, 1, "edge"), hat, 0, "edge"), convolve(convolve(g, ramp, 0, "edge"), hat, 1, "edge")
+    ax, ay = np.abs(gx), np.abs(gy)
+    m = ax + ay
+    around = np.pad(m, 1)
+    near = lambda dy, dx: around[1 + dy : 1 + dy + m.shape[0], 1 + dx : 1 + dx + m.shape[1]]
+    flat, steep, falling = ay <= np.tan(np.pi / 8) * ax, ax <= np.tan(np.pi / 8) * ay, gx * gy > 0
+    crest = np.where(
+        flat, (m > near(0, -1)) & (m >= near(0, 1)),
+        np.where(steep, (m > near(-1, 0)) & (m >= near(1, 0)), np.where(falling, (m > near(-1, -1)) & (m > near(1, 1)), (m > near(-1, 1)) & (m > near(1, -1)))),
+    )
+    labels, area = components(crest & (m > low))
+    sure = np.zeros(len(area), bool)
+    sure[np.unique(labels[crest & (m > high)])] = True
+    sure[0] = False
+    return sure[labels]
+
+
+def median(x: np.ndarray, size: int) -> np.ndarray:
+    """The median of a size x size box around every pixel of an 8-bit image (edge repeated).
+
+    A pixel's median is the least value that more than half of its box does not exceed: first its sixteenth of the
+    scale is found, then the value in those sixteenths that some pixel needs."""
+    v = np.clip(np.round(x), 0, 255).astype(np.uint8)
+    half = size * size / 2
+    coarse = np.full(v.shape, 15, np.uint8)
+    for c in range(14, -1, -1):
+        coarse[_windows(v <= 16 * c + 15, size, size, "edge") > half] = c
+    out = np.zeros(v.shape, np.uint8)
+    for c in np.unique(coarse).tolist():
+        own = coarse == c
+        best = np.full(v.shape, 16 * c + 15, np.uint8)
+        for t in range(16 * c + 14, 16 * c - 1, -1):
+            best[_windows(v <= t, size, size, "edge") > half] = t
+        out[own] = best[own]
+    return out
+
+
 def normalise(x: np.ndarray) -> np.ndarray:
     low, high = float(x.min()), float(x.max())
     return np.zeros(x.shape, np.float32) if high - low < 1e-6 else ((x - low) / (high - low)).astype(np.float32)
@@ -124,18 +191,32 @@ def closed(mask: np.ndarray, k: int) -> np.ndarray:
     return erode(dilate(mask, k), k)
 
 
-def gray_close(x: np.ndarray, k: int) -> np.ndarray:
-    """Gray closing: the greatest value in a box, then the least."""
+def cross_opened(mask: np.ndarray) -> np.ndarray:
+    """An opening by a pixel and its four neighbours: what no cross fits into goes."""
+    grown = lambda m, op, edge: op.reduce([m, *(np.pad(m, 1, constant_values=edge)[1 + y : 1 + y + m.shape[0], 1 + x : 1 + x + m.shape[1]] for y, x in ((-1, 0), (1, 0), (0, -1), (0, 1)))])
+    return grown(grown(mask, np.logical_and, True), np.logical_or, False)
+
 
-    def sweep(v: np.ndarray, best) -> np.ndarray:
-        half = k // 2
-        for axis in (0, 1):
-            p = np.pad(v, [(half, half) if a == axis else (0, 0) for a in (0, 1)], "edge")
-            n = v.shape[axis]
-            v = best.reduce([p[i : i + n] if axis == 0 else p[:, i : i + n] for i in range(2 * half + 1)])
-        return v
+def running(x: np.ndarray, k: int, best: np.ufunc, axis: int) -> np.ndarray:
+    """The best of k neighbours along an axis (edge repeated), from those of 1, 2, 4 ... neighbours."""
+    p = np.pad(x, [(k // 2, k - 1 - k // 2) if a == axis else (0, 0) for a in (0, 1)], "edge")
+    cut = (lambda v, a, b: v[a:b]) if axis == 0 else (lambda v, a, b: v[:, a:b])
+    width = 1
+    while 2 * width <= k:
+        n = p.shape[axis] - width
+        p = best(cut(p, 0, n), cut(p, width, width + n))
+        width *= 2
+    if rest := k - width:
+        n = p.shape[axis] - rest
+        p = best(cut(p, 0, n), cut(p, rest, rest + n))
+    return p
 
-    return sweep(sweep(x, np.maximum), np.minimum)
+
+def gray_close(x: np.ndarray, k: int) -> np.ndarray:
+    """Gray closing: the greatest value in a box, then the least."""
+    for best in (np.maximum, np.minimum):
+        x = running(running(x, k, best, 0), k, best, 1)
+    return x
 
 
 # ---------------------------------------------------------------- components
@@ -256,7 +337,7 @@ def page_quad(mask: np.ndarray, margin: float) -> np.ndarray:
     grow = margin * float(np.hypot(*(high - low)))
     low, high = low - grow, high + grow
     corners = np.array([[low[0], low[1]], [high[0], low[1]], [high[0], high[1]], [low[0], high[1]]]) @ axes
-    return order_quad(np.clip(corners, 0, [w - 1, h - 1]))
+    return order_quad(corners)
 
 
 def homography(source: np.ndarray, target: np.ndarray) -> np.ndarray:
@@ -278,7 +359,7 @@ def rotation(w: int, h: int, degrees: float) -> tuple[np.ndarray, int, int]:
     """A counter-clockwise rotation about the middle whose frame holds the whole image."""
     t = np.deg2rad(degrees)
     c, s = np.cos(t), np.sin(t)
-    nw, nh = (int(np.ceil(x - 1e-6)) for x in (h * abs(s) + w * abs(c), h * abs(c) + w * abs(s)))
+    nw, nh = (max(1, round(x)) for x in (h * abs(s) + w * abs(c), h * abs(c) + w * abs(s)))
     move = lambda x, y: np.array([[1, 0, x], [0, 1, y], [0, 0, 1.0]])
     return move((nw - 1) / 2, (nh - 1) / 2) @ np.array([[c, s, 0], [-s, c, 0], [0, 0, 1.0]]) @ move(-(w - 1) / 2, -(h - 1) / 2), nw, nh
 
@@ -288,29 +369,47 @@ def quarter_turns(w: int, h: int, k: int) -> tuple[np.ndarray, int, int]:
     return {0: (np.eye(3), w, h), 1: (np.array([[0, 1, 0], [-1, 0, w - 1], [0, 0, 1.0]]), h, w), 2: (np.array([[-1, 0, w - 1], [0, -1, h - 1], [0, 0, 1.0]]), w, h), 3: (np.array([[0, -1, h - 1], [1, 0, 0], [0, 0, 1.0]]), h, w)}[k % 4]
 
 
+def _cubic(t: np.ndarray) -> list[np.ndarray]:
+    """Weights of the four neighbours at distances 1 + t, t, 1 - t and 2 - t (cubic convolution with a = -0.75)."""
+    a = np.float32(-0.75)
+    near = lambda d: ((a + 2) * d - (a + 3)) * d * d + 1
+    far = lambda d: ((a * d - 5 * a) * d + 8 * a) * d - 4 * a
+    return [far(1 + t), near(t), near(1 - t), far(2 - t)]
+
+
 def warp(image: np.ndarray, matrix: np.ndarray, w: int, h: int, nearest: bool = False, fill: float | None = None) -> np.ndarray:
-    """The image under a matrix, once, by looking every target pixel up (bilinear); beyond the edge the edge, or ``fill``."""
+    """The image under a matrix, once, by looking every target pixel up (bicubic); beyond the edge the edge, or ``fill``."""
     back = np.linalg.inv(matrix)
-    x, y = np.meshgrid(np.arange(w, dtype=np.float64), np.arange(h, dtype=np.float64))
-    z = back[2, 0] * x + back[2, 1] * y + back[2, 2]
-    sx, sy = (back[0, 0] * x + back[0, 1] * y + back[0, 2]) / z, (back[1, 0] * x + back[1, 1] * y + back[1, 2]) / z
     ih, iw = image.shape[:2]
-    outside = (sx < -0.5) | (sy < -0.5) | (sx > iw - 0.5) | (sy > ih - 0.5)
-    sx, sy = np.clip(sx, 0, iw - 1), np.clip(sy, 0, ih - 1)
-    if nearest:
-        out = image[np.round(sy).astype(int), np.round(sx).astype(int)]
-    else:
-        x0, y0 = np.floor(sx).astype(int), np.floor(sy).astype(int)
-        x1, y1 = np.minimum(x0 + 1, iw - 1), np.minimum(y0 + 1, ih - 1)
-        fx, fy = sx - x0, sy - y0
-        if image.ndim == 3:
-            fx, fy = fx[..., None], fy[..., None]
-        v = image.astype(np.float32)
-        out = (v[y0, x0] * (1 - fx) + v[y0, x1] * fx) * (1 - fy) + (v[y1, x0] * (1 - fx) + v[y1, x1] * fx) * fy
-        out = np.clip(np.round(out), 0, 255).astype(image.dtype) if image.dtype == np.uint8 else out
-    if fill is not None:
-        out = out.copy()
-        out[outside] = fill
+    flat = np.ascontiguousarray(image).reshape(ih * iw, *image.shape[2:])
+    out = np.empty((h, w, *image.shape[2:]), image.dtype)
+    x = np.arange(w, dtype=np.float64)
+    for top in range(0, h, 64):  # strips stay in the processor's cache
+        y = np.arange(top, min(h, top + 64), dtype=np.float64)[:, None]
+        z = back[2, 0] * x + back[2, 1] * y + back[2, 2]
+        sx, sy = (back[0, 0] * x + back[0, 1] * y + back[0, 2]) / z, (back[1, 0] * x + back[1, 1] * y + back[1, 2]) / z
+        outside = (sx < -0.5) | (sy < -0.5) | (sx > iw - 0.5) | (sy > ih - 0.5) if fill is not None else None
+        sx, sy = np.clip(sx, 0, iw - 1), np.clip(sy, 0, ih - 1)
+        ix, iy = np.floor(sx).astype(np.int32), np.floor(sy).astype(np.int32)
+        fx, fy = (sx - ix).astype(np.float32), (sy - iy).astype(np.float32)
+        if nearest or not (fx.any() or fy.any()):
+            part = flat[np.round(sy).astype(np.int32) * iw + np.round(sx).astype(np.int32)]
+        else:
+            if image.ndim == 3:
+                fx, fy = fx[..., None], fy[..., None]
+            columns = [np.clip(ix + i, 0, iw - 1) for i in (-1, 0, 1, 2)]
+            wx = _cubic(fx)
+            part = np.zeros((len(y), w, *image.shape[2:]), np.float32)
+            for j, wy in zip((-1, 0, 1, 2), _cubic(fy), strict=True):
+                row = np.clip(iy + j, 0, ih - 1) * iw
+                line = wx[0] * flat[row + columns[0]]
+                for i in (1, 2, 3):
+                    line += wx[i] * flat[row + columns[i]]
+                part += wy * line
+            part = np.clip(np.round(part), 0, 255) if image.dtype == np.uint8 else part
+        if outside is not None:
+            part = np.where(outside if image.ndim == 2 else outside[..., None], fill, part)
+        out[top : top + len(y)] = part
     return out
 
 
@@ -322,4 +421,9 @@ def shrunk(image: np.ndarray, longest: int) -> np.ndarray:
     h, w = (s // step * step for s in image.shape[:2])
     if not h or not w:
         return image
-    return image[:h, :w].reshape(h // step, step, w // step, step, *image.shape[2:]).mean((1, 3)).astype(image.dtype)
+    kind = np.uint32 if image.dtype.kind in "bu" else np.float32
+    total = np.zeros((h // step, w // step, *image.shape[2:]), kind)
+    for y in range(step):
+        for x in range(step):
+            total += image[y:h:step, x:w:step]
+    return (total / (step * step)).astype(image.dtype)

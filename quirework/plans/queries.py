@@ -219,13 +219,15 @@ def run_counters(t):
     return summaries.run_counters(images)
 
 
-@query(f"""SELECT volume, coalesce(median(aspect) FILTER (NOT flag), median(aspect)) AS norm, max(price) AS canvas_width, max(quantity) AS canvas_height, count(*) AS n FROM {_CROPS} GROUP BY volume""")
+@query(f"""WITH v AS (SELECT volume, coalesce(median(aspect) FILTER (NOT flag), median(aspect)) AS norm, floor(max(price))::BIGINT AS w, max(quantity)::BIGINT AS h, count(*) AS n FROM {_CROPS} GROUP BY volume),
+c AS (SELECT *, greatest(w, round_even(h * norm, 0)::BIGINT) AS cw FROM v), d AS (SELECT *, greatest(round_even(cw / norm, 0)::BIGINT, h) AS ch FROM c)
+SELECT volume, norm, greatest(cw, round_even(ch * norm, 0)::BIGINT) AS canvas_width, ch AS canvas_height, n FROM d""")
 def volume_norm(t):
-    return summaries.volume_norm(_crops(t), "volume", C("aspect"), ~C("flag"), C("price"), C("quantity"))
+    return summaries.volume_norm(_crops(t), "volume", C("aspect"), ~C("flag"), F.floor("price"), C("quantity"))
 
 
 @query(f"""WITH n AS (SELECT volume, coalesce(median(aspect) FILTER (NOT flag), median(aspect)) AS norm FROM {_CROPS} GROUP BY volume)
-SELECT volume, count(*) FILTER (abs(aspect - norm) / norm > 0.12) AS suspects, round(avg(abs(aspect - norm) / norm), 6) AS mean_deviation FROM {_CROPS} JOIN n USING (volume) GROUP BY volume""")
+SELECT volume, count(*) FILTER (abs(aspect - norm) > 0.12) AS suspects, round(avg(abs(aspect - norm)), 6) AS mean_deviation FROM {_CROPS} JOIN n USING (volume) GROUP BY volume""")
 def volume_suspects(t):
     c = _crops(t)
     out = summaries.suspects(c, summaries.volume_norm(c, "volume", C("aspect"), ~C("flag"), C("price"), C("quantity")), "volume", C("aspect"))
@@ -249,13 +251,15 @@ def worst_offenders(t):
     return _crops(t).orderBy(F.desc("price"), "volume", "image", "line").limit(24).select("volume", "image", "line", "price")
 
 
-@query("""SELECT l_suppkey % 10 AS part, count(*) AS n, count(*) FILTER (abs(a - b) > 100) AS changed, round(100.0 * count(*) FILTER (abs(a - b) > 100) / count(*), 6) AS percent FROM
-(SELECT l_suppkey, sum(l_extendedprice * (1 - l_discount)) AS a FROM lineitem GROUP BY 1) JOIN (SELECT l_suppkey, sum(l_extendedprice) FILTER (l_linenumber > 1) AS b FROM lineitem GROUP BY 1) USING (l_suppkey) WHERE b IS NOT NULL GROUP BY 1""")
+@query("""SELECT l_suppkey % 10 AS part, count(*) AS n, count(*) FILTER (abs(a - b) > 100) AS changed, round(100.0 * count(*) FILTER (abs(a - b) > 100) / count(*), 6) AS percent,
+coalesce(array_to_string(list_sort(list(l_suppkey) FILTER (abs(a - b) > 100)), ';'), '') AS names FROM
+(SELECT l_suppkey, sum(l_extendedprice * (1 - l_discount)) AS a, count(*) % 2 AS s FROM lineitem GROUP BY 1) JOIN (SELECT l_suppkey, sum(l_extendedprice) AS b, count(*) % 2 AS s FROM lineitem WHERE l_linenumber > 1 GROUP BY 1) USING (l_suppkey, s) GROUP BY 1""")
 def changed_crops(t):
     li = t("lineitem").withColumn("part", C("l_suppkey") % 10)
-    a = li.groupBy("part", "l_suppkey").agg(F.sum(C("l_extendedprice") * (1 - C("l_discount"))).alias("v"))
-    b = li.where("l_linenumber > 1").groupBy("l_suppkey").agg(F.sum("l_extendedprice").alias("v"))
-    return summaries.changed(a, b, "l_suppkey", "v", "part", 100).withColumn("percent", F.round("percent", 6))
+    shape = (F.count("*") % 2).alias("s")
+    a = li.groupBy("part", "l_suppkey").agg(F.sum(C("l_extendedprice") * (1 - C("l_discount"))).alias("v"), shape)
+    b = li.where("l_linenumber > 1").groupBy("l_suppkey").agg(F.sum("l_extendedprice").alias("v"), shape)
+    return summaries.changed(a, b, "l_suppkey", "v", "part", 100, ["s"]).withColumn("percent", F.round("percent", 6)).withColumn("names", F.array_join(C("names").cast("array<string>"), ";"))
 
 
 # ---------------------------------------------------------------- evaluation
@@ -352,10 +356,10 @@ def page_counts(t):
 s AS (SELECT *, CASE WHEN spot >= 0.2 THEN abs(w * spot - 0.77) END AS a, CASE WHEN 1 - spot >= 0.2 THEN abs(w * (1 - spot) - 0.77) END AS b FROM c),
 y AS (SELECT *, CASE WHEN w <= 0.95 THEN 'aspect_in_range' WHEN ink < 0.02 THEN 'too_little_ink' WHEN spot IS NULL OR ratio < 1.5 THEN 'no_confident_spine' WHEN a IS NULL AND b IS NULL THEN 'no_side_wide_enough' ELSE 'fired' END AS why FROM s)
 SELECT volume, image, line, why, CASE WHEN why = 'fired' THEN CASE WHEN b IS NULL OR a <= b THEN 'left' ELSE 'right' END END AS kept,
-round(CASE WHEN why = 'fired' THEN CASE WHEN b IS NULL OR a <= b THEN w * spot ELSE w * (1 - spot) END END + 1e-9, 5) AS aspect_after FROM y""")
+CASE WHEN why = 'fired' THEN CASE WHEN b IS NULL OR a <= b THEN w * spot ELSE w * (1 - spot) END END AS aspect_after FROM y""")
 def partial_spread_rule(t):
     r = gates.partial_spread(C("aspect") * 1.5, C("text_frac"), C("discount") * 20, C("area_frac"))
-    return _crops(t).select("volume", "image", "line", r.alias("r")).select("volume", "image", "line", "r.why", "r.kept", F.round(C("r.aspect_after") + 1e-9, 5).alias("aspect_after"))
+    return _crops(t).select("volume", "image", "line", r.alias("r")).select("volume", "image", "line", "r.why", "r.kept", "r.aspect_after")
 
 
 @query(f"""WITH c AS (SELECT *, aspect * 1.5 AS w FROM {_CROPS}), f AS (SELECT volume, w AS before, CASE WHEN w > 0.95 AND text_frac >= 0.02 AND discount * 20 >= 1.5 AND area_frac BETWEEN 0.2 AND 0.8 THEN
@@ -382,7 +386,7 @@ def pad_to_ratio(t):
     return t("part").select("p_partkey", size.alias("s")).select("p_partkey", "s.width", "s.height")
 
 
-@query("""WITH b AS (SELECT p_partkey, p_size AS top, p_size + 100 AS bottom, floor(p_retailprice / 2)::BIGINT AS width, 1000 AS height FROM part), n AS (SELECT *, greatest(0, least(height, ceil(width / 0.8)) - (bottom - top)) AS extra FROM b),
+@query("""WITH b AS (SELECT p_partkey, p_size AS top, p_size + 100 AS bottom, floor(p_retailprice / 2)::BIGINT AS width, 1000 AS height FROM part), n AS (SELECT *, greatest(0, least(height, round_even(width / 0.8, 0)) - (bottom - top)) AS extra FROM b),
 u AS (SELECT *, least(top, floor(extra / 2)) AS up FROM n), d AS (SELECT *, least(height - bottom, extra - up) AS down FROM u)
 SELECT p_partkey, (top - least(top, extra - down))::BIGINT AS y0, (bottom + down)::BIGINT AS y1 FROM d""")
 def page_extent(t):
@@ -458,9 +462,9 @@ def profile_local_dark(t):
 
 
 @query(f"""WITH s AS (SELECT id, pos, value, lag(value) OVER w AS a, lead(value) OVER w AS b FROM {_PROFILE} WINDOW w AS (PARTITION BY id ORDER BY pos))
-SELECT id, pos, round(1e-9 + (coalesce(0.25 * a, 0) + 0.5 * value + coalesce(0.25 * b, 0)) / (CASE WHEN a IS NULL THEN 0 ELSE 0.25 END + 0.5 + CASE WHEN b IS NULL THEN 0 ELSE 0.25 END), 4) AS smooth FROM s""")
+SELECT id, pos, coalesce(a, b, value) * 0.25 + value * 0.5 + coalesce(b, a, value) * 0.25 AS smooth FROM s""")
 def profile_smooth(t):
-    return profiles.smoothed(_profile(t), [0.25, 0.5, 0.25]).select("id", "pos", F.round(F.col("smooth") + 1e-9, 4).alias("smooth"))
+    return profiles.smoothed(_profile(t), [0.25, 0.5, 0.25]).select("id", "pos", "smooth")
 
 
 @query(f"""WITH e AS (SELECT id, min(pos) AS p0, max(pos) AS p1, arg_min(value, pos) AS v0, arg_max(value, pos) AS v1 FROM {_PROFILE} GROUP BY id)

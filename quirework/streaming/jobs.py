@@ -6,6 +6,9 @@ import time
 from collections.abc import Callable
 from typing import Protocol
 
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
 #: What a job's status means.
 COPIED, ENDED, FAILED = ("DERIVED_READY",), ("COMPLETED",), ("FAILED", "ERROR")
 
@@ -27,9 +30,25 @@ def with_steps(steps: list[str]) -> list[str]:
     return list(dict.fromkeys([*(["foliate"] if "metadata" in steps else []), *steps]))
 
 
+# The fields of a job's metadata that have a default, the modules, the preferences, and the descriptive fields.
+FIELDS = {"writing_style": "", "language": "", "time_period": "", "layout_structure": "", "transcription_instructions": "", "non_textual_elements": [], "allow_subject_similarity": False}
+MODULES = ("transcription", "captioning", "foliation", "aggregation", "metadata", "ner")
+PREFERENCES = {"expand_abbreviations": False, "preserve_line_breaks": True, "retain_punctuation_and_spelling": True, "normalize_to_modern_language": False, "ignore_marginalia": False}
+DESCRIPTIVE = ("title", "creator", "subject", "description", "publisher", "contributor", "date", "type", "format", "identifier", "source", "language", "relation", "coverage", "rights")
+
+
 def metadata(config: dict, title: str, steps: list[str]) -> dict:
+    """What a job is created with: the configured fields over their defaults, the models of each module where one is chosen,
+    and the descriptive fields with the prompts that the configuration gives them."""
     api = config.get("api", {})
-    return {"title": title, "steps": with_steps(steps), "models": dict(api.get("models", {})), "instructions": api.get("instructions", ""), "foliation_override_discrete": "metadata" in steps and "foliate" not in steps}
+    job, models, wanted, prompts = (api.get(k, {}) for k in ("job", "models", "transcription_preferences", "metadata_schema"))
+    out = {"title": title, "steps": with_steps(steps), "instructions": api.get("instructions", "")}
+    out |= {k: job.get(k, default) for k, default in FIELDS.items()}
+    out |= {f"{m}_model": models.get(m, "") for m in MODULES}
+    out["transcription_preferences"] = {k: wanted.get(k, default) for k, default in PREFERENCES.items()}
+    out["metadata_schema"] = {k: prompts.get(k, "") for k in DESCRIPTIVE}
+    out |= {"additional_context_file": "", "additional_context_modules": [], "foliation_file": "", "delete_data": bool(api.get("delete_data", True))}
+    return out | {"foliation_override_discrete": "metadata" in steps and "foliate" not in steps}
 
 
 def attempt(call: Callable[[], None], tries: int = 5, sleep: Callable[[float], None] = time.sleep) -> None:
@@ -44,6 +63,19 @@ def attempt(call: Callable[[], None], tries: int = 5, sleep: Callable[[float], N
             sleep(2.0**i)
 
 
+TRIES = 5
+
+
+def retried(log: DataFrame, item: str, order: list[str], failed: Column) -> DataFrame:
+    """What became of each item's upload from the outcomes of its tries in order: how many were made, whether one was good,
+    and the seconds waited between them (1, 2, 4, 8 ...)."""
+    tries = F.row_number().over(Window.partitionBy(item).orderBy(*order))
+    rows = log.select(item, tries.alias("i"), failed.alias("failed")).where(F.col("i") <= TRIES)
+    out = rows.groupBy(item).agg(F.min(F.when(~F.col("failed"), F.col("i"))).alias("good"), F.max("i").alias("last"))
+    made = F.coalesce("good", "last")
+    return out.select(item, made.cast("int").alias("tries"), F.col("good").isNotNull().alias("done"), (F.pow(F.lit(2.0), made - 1) - 1).alias("waited"))
+
+
 def run(service: Service, meta: dict, keys: list[str], poll: float = 5.0, limit: float = 86_400.0, sleep: Callable[[float], None] = time.sleep) -> list[dict]:
     """Creates a job, waits until its files are copied, starts it, waits for its end, and lists its artefacts."""
     for key in keys:

@@ -32,7 +32,7 @@ def test_seam_is_the_cheapest_line():
     import itertools
 
     best = min((sum(cost[y, x] for y, x in enumerate(p)) + 0.02 * sum(a != b for a, b in itertools.pairwise(p)), p) for p in itertools.product(range(5), repeat=6) if all(abs(a - b) <= 1 for a, b in itertools.pairwise(p)))
-    assert S.seam(cost).tolist() == list(best[1])
+    assert S.seam(cost, 0.02).tolist() == list(best[1])
 
 
 def test_split_shapes():
@@ -87,7 +87,7 @@ def test_border_and_paper():
     x[100:104, 60:200] = 20
     assert all(abs(a - b) <= 10 for a, b in zip(S.trim_border(x), (40, 40, 240, 240), strict=True))
     plain = np.full((300, 300, 3), 235, np.uint8)
-    assert S.trim_border(plain) == (0, 0, 300, 300) == S.paper_box(plain)
+    assert S.trim_border(plain) == (0, 0, 300, 300) and S.paper_box(plain) is None
     y = np.full((400, 400, 3), 20, np.uint8)
     y[60:-60, 60:-60] = 230
     y[100:300:20, 100:300] = 40
@@ -156,10 +156,11 @@ def test_rescue():
 
 def test_measures():
     g = np.full((200, 200), 255.0, np.float32)
-    assert S.white_fraction(g) == 1.0 and S.notch(np.ones((10, 10), bool)) == 0.0
+    assert S.white_fraction(g) == 1.0 and S.notch(np.full((90, 90), 200.0)) == 0.0
     ink = g.copy()
     ink[50:60, 50:150] = 0
-    assert S.erased_ink(ink, g) > 0 and S.erased_ink(g, g) == 0 and max(S.edge_ink(g).values()) == 0
+    assert S.erased_ink(ink, g) == {"share": 1.0, "central": 1.0, "interior": 0.0} and S.erased_ink(g, g)["share"] == 0 and max(S.edge_ink(g).values()) == 0
+    assert np.isnan(S.erased_ink(ink, g[:50])["share"])
     prob = np.zeros((200, 200))
     prob[10:40, 10:90], prob[100:150, 10:90] = 1, 1
     assert [b[1] for b in S.entry_boxes(prob)] == [10, 100]
