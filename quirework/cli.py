@@ -29,7 +29,8 @@ def main(argv: list[str] | None = None) -> int:
         todo = todo.limit(a.limit) if a.limit else todo
         done = runner.done_keys(spark, a.out)
         todo = todo if done is None else todo.join(done, "source_key", "left_anti")
-        writers.write_results(pages(readers.images_of(spark, todo, a.path)), a.out)
+        for images in readers.images_of(spark, todo):
+            writers.write_results(pages(images), a.out)
     results = spark.read.parquet(f"{a.out}/results")
     writers.write_views(results, a.out)
     runner.counters(results).show()

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from quirework.functions import keys
 from quirework.operators import records, summaries
-from quirework.plans.pages import pages
+from quirework.plans.pages import PAGE_SCHEMA, pages
 from quirework.sources import readers, writers
 from quirework.streaming import jobs
 
@@ -44,8 +44,14 @@ def crop(spark: SparkSession, source: str, out: str, volume: str, limit: int | N
     done = done_keys(spark, out)
     todo = listing if done is None else listing.join(done, "source_key", "left_anti")
     skipped = listing.count() - todo.count()
-    pages(readers.images_of(spark, todo, source), head_set).write.mode("append").parquet(f"{out}/results")
+    for images in readers.images_of(spark, todo):
+        pages(images, head_set).write.mode("append").parquet(f"{out}/results")
+    if done_keys(spark, out) is None:
+        return records_of(spark.createDataFrame([], PAGE_SCHEMA)), skipped
     results = spark.read.parquet(f"{out}/results").join(listing.select("source_key"), "source_key", "left_semi")
+    if results.where("label IS NOT NULL").isEmpty():
+        return records_of(results), skipped
+    writers.write_views(results, f"{out}/volumes/{volume}")
     return records_of(results), skipped
 
 

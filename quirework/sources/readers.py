@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from itertools import islice
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,16 +20,38 @@ def plain_uri(uri: Column) -> Column:
     return F.regexp_replace(uri, "^file:///", "file:/")
 
 
+def existing(spark: SparkSession, paths: list[str]) -> list[str]:
+    """The paths (or patterns) that name something."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    found = []
+    for p in paths:
+        at = jvm.org.apache.hadoop.fs.Path(p)
+        if at.getFileSystem(conf).globStatus(at):
+            found.append(p)
+    return found
+
+
 def listing(spark: SparkSession, paths: list[str] | str, pattern: str | None = None, recursive: bool = False) -> DataFrame:
-    """source_key, length and modification time of image files, by name; the files are not read."""
+    """source_key, length and modification time of image files, by name; the files are not read. A path that is not there has none."""
+    paths = existing(spark, [paths] if isinstance(paths, str) else paths)
+    if not paths:
+        return spark.createDataFrame([], "source_key string, length long, modificationTime timestamp")
     files = spark.read.format("binaryFile").option("recursiveFileLookup", recursive).option("pathGlobFilter", pattern or "*").load(paths)
     return files.select(F.col("path").alias("source_key"), "length", "modificationTime").where(keys.is_image(F.col("source_key"))).orderBy("source_key")
 
 
 def uploads(spark: SparkSession, path: str) -> DataFrame:
-    """Files that may be handed on for transcription: images and PDFs."""
+    """Files that may be handed on for transcription: images and PDFs; a folder without any raises."""
     files = spark.read.format("binaryFile").load(path).select(F.col("path").alias("source_key"), "length")
-    return files.where(keys.is_image(F.col("source_key")) | F.col("source_key").rlike(r"(?i)\.pdf$"))
+    files = files.where(keys.is_image(F.col("source_key")) | F.col("source_key").rlike(r"(?i)\.pdf$"))
+    if files.isEmpty():
+        raise FileNotFoundError(f"nothing to upload in {path}")
+    return files
+
+
+def crops(spark: SparkSession, path: str) -> DataFrame:
+    """The crops of a folder, by name: JPEG only."""
+    return listing(spark, path, "*.jpg")
 
 
 def images(spark: SparkSession, paths: list[str] | str) -> DataFrame:
@@ -35,11 +60,14 @@ def images(spark: SparkSession, paths: list[str] | str) -> DataFrame:
     return found.select(plain_uri(F.col("image.origin")).alias("source_key"), "image.height", "image.width", "image.nChannels", "image.data")
 
 
-def images_of(spark: SparkSession, wanted: DataFrame, paths: list[str] | str) -> DataFrame:
-    """The images of the wanted keys alone: the listing is filtered before anything is decoded.
+def images_of(spark: SparkSession, wanted: DataFrame, at_once: int = 10_000) -> Iterator[DataFrame]:
+    """The images of the wanted keys, so many files in each DataFrame.
 
-    Files of one folder are pruned by the join on their path, which Spark pushes below the Python stage."""
-    return images(spark, paths).join(wanted.select("source_key"), "source_key", "left_semi")
+    The keys are filtered before anything is read: only their files are opened and decoded, and no pixel is
+    shuffled. The driver holds the keys of one batch at a time."""
+    keys_left = (r["source_key"] for r in wanted.select("source_key").toLocalIterator())
+    while batch := list(islice(keys_left, at_once)):
+        yield images(spark, batch)
 
 
 def manifest(spark: SparkSession, path: str) -> DataFrame:
@@ -58,15 +86,15 @@ def labels(spark: SparkSession, path: str) -> DataFrame:
 
 def transcripts(spark: SparkSession, path: str) -> DataFrame:
     """One row per page of transcription files (JSON lists, also spoilt ones): volume, file, transcription."""
-    files = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("path"), "value")
+    files = spark.read.text(path, wholetext=True).select(F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B"))).alias("path"), "value")
     rows = files.select(keys.stem(F.col("path")).alias("volume"), F.explode(text.lenient_records(F.col("value"), TRANSCRIPTS)).alias("r"))
     return rows.select("volume", "r.file", "r.transcription")
 
 
-def sidecars(spark: SparkSession, path: str) -> DataFrame:
-    """Provenance records, one row per page."""
-    found = spark.read.json(path, multiLine=True)
-    return found.select("source_key", "page_count", "count_conf", "error", F.explode_outer("folios").alias("folio")).select("source_key", "page_count", "count_conf", "error", "folio.*")
+def sidecars(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """Provenance records, one row per page: a JSON document in each file, or (as our own sink writes them) in each line."""
+    found = spark.read.json(path, multiLine=not lines)
+    return found.select("source_key", "page_count", "count_conf", *(["error"] if "error" in found.columns else [F.lit(None).cast("string").alias("error")]), F.explode_outer("folios").alias("folio")).select("source_key", "page_count", "count_conf", "error", "folio.*")
 
 
 def review_reports(spark: SparkSession, path: str) -> DataFrame:

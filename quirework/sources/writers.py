@@ -71,6 +71,48 @@ def coord_rows(pages: DataFrame, prefix: str = "") -> DataFrame:
     return rows.select(keys.crop_key(F.col("source_key"), F.col("label"), prefix).alias("crop"), "source_key", "source_size", "crop_quad_norm", F.lit("TL,TR,BR,BL").alias("corner_order"), "label", "page_count", F.round("rotation_deg", 2).alias("rotation"), "is_blank", "needs_review")
 
 
+def metadata_rows(pages: DataFrame, prefix: str = "") -> DataFrame:
+    """crop and the string map that goes with it as user metadata, from which a resumed run takes its verdict."""
+    record = {"blank": F.col("is_blank"), "review": F.col("needs_review"), "reasons": F.array_join("review_reasons", ","), "blank_conf": F.col("blank_conf"), "orientation_conf": F.col("orientation_conf"), "source": F.col("source_key"), "label": F.col("label"), "text_frac": F.col("text_frac"), "rotation": F.col("rotation_deg")}
+    meta = keys.encode_metadata(record, {"blank_conf": 3, "orientation_conf": 3, "text_frac": 4, "rotation": 2})
+    return pages.where("label IS NOT NULL").select(keys.crop_key(F.col("source_key"), F.col("label"), prefix).alias("crop"), meta.alias("metadata"))
+
+
+def write_faint(results: DataFrame, path: str) -> None:
+    """The enhanced copies of faint pages."""
+    encoded(results, faint=True).withColumn("file", F.concat(keys.stem(F.col("source_key")), F.when(F.col("label") != "", F.concat(F.lit("-"), "label")).otherwise(""), F.lit("_enhanced.jpg"))).write.mode("overwrite").parquet(f"{path}/enhanced")
+
+
+def volume_report(crops: DataFrame, norms: DataFrame, path: str) -> None:
+    """One CSV line per crop: its size and aspect against its volume's norm and canvas, and whether it is suspect."""
+    said = lambda c: F.format_string("%.3f", F.col(c))
+    rows = crops.join(norms, "volume").withColumn("aspect", F.col("w") / F.col("h")).withColumn("deviation", F.abs(F.col("aspect") - F.col("norm")))
+    rows = rows.select("file", "volume", "w", "h", said("aspect").alias("aspect"), said("norm").alias("volume_aspect"), said("deviation").alias("deviation"), "canvas_width", "canvas_height", F.when(F.col("deviation") > 0.12, "True").otherwise("False").alias("suspect"))
+    rows.write.mode("overwrite").csv(f"{path}/volume_report", header=True)
+
+
+def on_canvases(crops: DataFrame, norms: DataFrame, fill: int | None = None) -> DataFrame:
+    """file and ``crop`` (height, width, nChannels, data) in the middle of its volume's canvas, the rest in the colour of its border."""
+    from quirework.pixels.stages import on_canvas
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            out = []
+            for c, w, h in zip(frame["crop"], frame["canvas_width"], frame["canvas_height"], strict=True):
+                x = on_canvas(np.frombuffer(c["data"], np.uint8).reshape(c["height"], c["width"], c["nChannels"]), int(w), int(h), fill)
+                out.append({"height": x.shape[0], "width": x.shape[1], "nChannels": x.shape[2], "data": x.tobytes()})
+            yield pd.DataFrame({"file": frame["file"], "crop": out})
+
+    rows = crops.join(norms.select("volume", "canvas_width", "canvas_height"), "volume").select("file", "crop", "canvas_width", "canvas_height")
+    return rows.mapInPandas(run, "file string, crop struct<height:int,width:int,nChannels:int,data:binary>")
+
+
+def evaluation(rows: DataFrame, summary: DataFrame, path: str) -> None:
+    """The rows of an evaluation as CSV and its summary as one JSON line."""
+    rows.write.mode("overwrite").csv(f"{path}/eval_rows", header=True)
+    summary.coalesce(1).write.mode("overwrite").json(f"{path}/eval_summary")
+
+
 def matched_coords(crops: DataFrame, coords: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(coords of the crops that have one, sorted key lists of all crops per volume)."""
     lists = crops.groupBy(keys.volume_of(keys.basename(F.col("crop"))).alias("volume")).agg(F.sort_array(F.collect_list("crop")).alias("crops"))
@@ -88,7 +130,9 @@ def write_views(results: DataFrame, path: str) -> None:
     sidecar_rows(results).write.mode("overwrite").json(f"{path}/sidecars")
     manifest_rows(results).coalesce(1).write.mode("overwrite").csv(f"{path}/manifest", header=True)
     coord_rows(results).write.mode("overwrite").json(f"{path}/coords")
+    metadata_rows(results).write.mode("overwrite").parquet(f"{path}/metadata")
     encoded(results).write.mode("overwrite").partitionBy("needs_review").parquet(f"{path}/crops")
+    write_faint(results, path)
 
 
 def sparse_lists(rows: DataFrame, path: str) -> None:

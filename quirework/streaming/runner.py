@@ -34,8 +34,12 @@ def start(spark: SparkSession, source: str, out: str, checkpoint: str, per_trigg
     found = stream.select(plain_uri(F.col("image.origin")).alias("source_key"), "image.height", "image.width", "image.nChannels", "image.data").where(keys.in_shard(F.col("source_key"), *shard))
 
     def batch(rows: DataFrame, _: int) -> None:
-        done = done_keys(rows.sparkSession, out)
-        todo = rows if done is None else rows.join(done, "source_key", "left_anti")
+        done, todo = done_keys(rows.sparkSession, out), rows
+        if done is not None:
+            # the keys of one micro-batch are few; only they are compared, and no pixel is shuffled
+            batch_keys = [r["source_key"] for r in rows.select("source_key").collect()]
+            old = [r["source_key"] for r in done.where(F.col("source_key").isin(batch_keys)).collect()]
+            todo = rows.where(~F.col("source_key").isin(old)) if old else rows
         pages(todo, head_set, settings).write.mode("append").parquet(f"{out}/results")
 
     return found.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
