@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -16,15 +19,27 @@ SLICE_BYTES = 2 << 20
 
 # ---------------------------------------------------------------- durable tables
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that ``spark.checkpoint.dir`` names; where it is unset (tests), one of our own."""
+    """The folder that ``spark.checkpoint.dir`` names. Where it is unset, a local master has one of its own; a cluster,
+    whose machines do not share a temporary folder, raises."""
     known = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not known:
+        if not re.match(r"local(\[[^-]*\])?$", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         known = tempfile.mkdtemp(prefix="quirework-")
+        atexit.register(shutil.rmtree, known, ignore_errors=True)
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(known)
     return known
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Bounds the Arrow batches of this session: text tables have long rows, and a batch is whole in the JVM and in Python."""
+    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", 2000), ("spark.sql.execution.arrow.maxBytesPerBatch", 8 << 20)):
+        now = spark.conf.get(key, None)
+        if not (now and now.isdigit() and 0 < int(now) <= most):
+            spark.conf.set(key, str(most))
+
+
 def settled(df: DataFrame) -> DataFrame:
     """``df`` with its lineage cut by a checkpoint in the shared folder."""
     shared_dir(df.sparkSession)
@@ -72,14 +87,11 @@ def slices(batches: Iterator[pa.RecordBatch], text: str, limit: int = SLICE_BYTE
 
 
 # ---------------------------------------------------------------- word hashing
-_rng = np.random.default_rng(0x5EED)
-_BYTE = _rng.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_BYTE_LOWER = _BYTE.copy()
-_BYTE_LOWER[65:91] = _BYTE[97:123]
-_BASE, _WORD_BASE = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
+# Multilinear hashing: every byte of a word (word of a gram) times the random weight of its place, added up
+# modulo 2**64 and mixed. Unlike powers of one base, no family of texts cancels out whatever the weights are.
+_SEED = np.uint64(0x5EED5EED5EED5EED)
 _IS_SEP = np.zeros(256, bool)
 _IS_SEP[[9, 10, 11, 12, 13, 32]] = True
-_powers: dict[int, np.ndarray] = {}
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -89,25 +101,17 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _pow(base: int, n: int) -> np.ndarray:
-    """base**0 .. base**n modulo 2**64, kept while it is small."""
-    have = _powers.get(base)
-    if have is None or len(have) <= n:
-        have = np.full(max(n + 1, 1 << 16), base, np.uint64)
-        have[0] = 1
-        have = np.multiply.accumulate(have)
-        if n <= 2 * SLICE_BYTES:
-            _powers[base] = have
-    return have[: n + 1]
+def weights(n: int, kind: int) -> np.ndarray:
+    """The weights of the places 0..n, the same however many are asked for."""
+    with np.errstate(over="ignore"):
+        return mix(np.arange(1, n + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + mix(np.array([kind], np.uint64) ^ _SEED))
 
 
-def _span_hash(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int) -> np.ndarray:
-    """Polynomial hash of values[start:end], the same wherever the span stands."""
-    n = len(values)
-    sums = np.zeros(n + 1, np.uint64)
-    np.cumsum(values * _pow(base, n)[:n], out=sums[1:])
-    inverse = pow(base, -1, 1 << 64)
-    return (sums[ends] - sums[starts]) * _pow(inverse, n)[starts]
+_BYTE = weights(256, 1)
+_BYTE[_IS_SEP] = 0
+_BYTE_LOWER = _BYTE.copy()
+_BYTE_LOWER[65:91] = _BYTE[97:123]
+_PLACE = weights(1 << 12, 2)
 
 
 def word_bounds(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -129,11 +133,21 @@ def word_bounds(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 
 def word_hashes(data: np.ndarray, offs: np.ndarray, lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
-    """A uint64 hash of each word, and the number of words before each text."""
+    """A uint64 hash of each word, and the number of words before each text; about ``SLICE_BYTES`` are held in wide arrays at a time."""
     starts, ends, before = word_bounds(data, offs)
-    if not len(starts):
-        return np.zeros(0, np.uint64), before
-    return mix(_span_hash((_BYTE_LOWER if lower else _BYTE)[data], starts, ends, _BASE)), before
+    out = np.empty(len(starts), np.uint64)
+    values, lo = _BYTE_LOWER if lower else _BYTE, 0
+    while lo < len(starts):
+        hi = max(lo + 1, int(np.searchsorted(ends, starts[lo] + SLICE_BYTES, "right")))
+        at = starts[lo:hi] - starts[lo]
+        part = data[starts[lo] : ends[hi - 1]]
+        # the separators after a word weigh nothing
+        place = np.arange(len(part)) - np.repeat(at, np.diff(np.r_[at, len(part)]))
+        longest = int((ends[lo:hi] - starts[lo:hi]).max())
+        table = _PLACE if longest <= len(_PLACE) else weights(longest, 2)
+        out[lo:hi] = np.add.reduceat(values[part] * table[np.minimum(place, len(table) - 1)], at)
+        lo = hi
+    return mix(out), before
 
 
 def gram_hashes(words: np.ndarray, k: int) -> np.ndarray:
@@ -141,8 +155,24 @@ def gram_hashes(words: np.ndarray, k: int) -> np.ndarray:
     n = len(words) - k + 1
     if n <= 0:
         return np.zeros(0, np.uint64)
-    at = np.arange(n)
-    return mix(_span_hash(words, at, at + k, _WORD_BASE) + np.uint64(k))
+    if k > 16:  # a long gram by the hashes of the short ones that cover it
+        parts, step = gram_hashes(words, 8), [*range(0, k - 8, 8), k - 8]
+    else:
+        parts, step = words, list(range(k))
+    out = np.full(n, k, np.uint64)
+    for j, w in zip(step, weights(len(step), 3), strict=True):
+        out += parts[j : j + n] * w
+    return mix(out)
+
+
+def short_hashes(words: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A hash of each span of a few words, the same wherever it stands."""
+    length = ends - starts
+    if not len(length):
+        return np.zeros(0, np.uint64)
+    place = np.arange(int(length.sum())) - np.repeat(np.cumsum(length) - length, length)
+    each = words[ragged(starts, length)] * weights(int(length.max()), 3)[place]
+    return mix(np.add.reduceat(each, np.cumsum(length) - length) + length.astype(np.uint64))
 
 
 def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:

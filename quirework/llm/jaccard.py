@@ -3,24 +3,31 @@
 A document is the set of its distinct word shingles; documents with equal sets are one set. Shingles
 have one global order (the rare before those that some batch saw often, then by hash), and two sets
 that are similar enough share a shingle of their prefixes. Prefix shingles that a count-min sketch
-estimates in one set only are left out (none that two sets share are).
+estimates in one set only are left out (none that two sets share are). Each set has a signature, the
+parity of its shingles in so many cells: cells that differ bound from below how many shingles lie in
+one of two sets only (their distance).
 
 Index lists hold (size, position) blocks. Answers come in two rounds:
 
 1. In every list each set meets only one set of about its size, the one with the fewest shingles of its
-   own (its hub). These pairs are checked; linked sets form components. A pair's overlap within both prefixes already bounds the
-   distance of the sets; where that bound does not decide, the whole sets are compared.
+   own (its hub). Pairs that the signatures leave possible are compared; linked sets form components.
 2. Only pairs from different components are left. A list whose sets lie in one component is skipped
-   whole; in others, blocks of other sizes or beyond the last useful position are skipped. The answer
-   for a set is derived from that of its hub, which it is highly similar to: the distance of a third
-   set from the hub less the set's own is a lower bound, and where that excludes the pair nothing is
-   compared. The rest are checked like those of the first round.
-
-Lists meet per batch first and send on one hub each, so a shingle that very many sets hold stays small.
+   whole; in others, blocks of other sizes or beyond the last useful position are skipped, and the sets of
+   the list's largest component meet those of other components only. A set's answer is derived from that of its
+   hub, which it is highly similar to: the distance of a third set from the hub less the set's own is a
+   lower bound, and where that excludes the pair nothing else is looked at. What the signatures of the
+   pair leave possible is compared. All of this is decided where the list is, so only pairs that nearly link
+   leave it; entries of lists of up to ``SMALL`` sets travel without signatures, as their pairs are few.
+   A set's entries in the lists of one task travel as one row.
+
+Lists meet per batch first and send on one hub each, so a shingle that very many sets hold stays small in the
+first round. In the second, a list of more than ``HOT`` sets is dealt over parts: those of its largest component
+to one part each, the others to every part.
 
 Null and empty texts have empty sets and no links; a text with fewer words than a shingle is one
-shingle; rows that repeat a doc_id are separate sets whose component may be shared; a null doc_id has
-no links and no component; an empty table has an empty result.
+shingle; a very long text is one set like any other, taken whole; rows that repeat a doc_id are separate
+sets whose component may be shared; a null doc_id has no links and no component; an empty table has an
+empty result.
 """
 
 from __future__ import annotations
@@ -33,7 +40,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quirework.llm import sketch
-from quirework.llm._common import _WORD_BASE, _span_hash, binary_column, flat_binary, gram_hashes, mix, ragged, settled, shuffle_partitions, slices, spooled, text_buffers, word_hashes
+from quirework.llm._common import binary_column, flat_binary, gram_hashes, mix, ragged, settled, short_hashes, shuffle_partitions, slices, spooled, text_buffers, word_hashes
 from quirework.llm.components import components
 
 SHINGLE = 5
@@ -44,7 +51,13 @@ COMMON, COMMON_KEPT = 4, 1 << 18
 #: Shingles have 60 bits; the 4 above hold the class of common ones (the logarithm of their count), 0 for others.
 _SHIFT = np.uint64(60)
 _BITS = np.uint64((1 << 60) - 1)
-_PREFIX = "sid long, n int, tokens binary, places binary, edge long"
+#: One set's entries in the lists of one part; ``salts`` deal lists with very many sets.
+_ENTRIES = "part int, sid long, n int, component long, hub long, own int, signature binary, tokens binary, places binary, salts binary"
+#: Sets in a list up to which its entries carry no signatures, and beyond which it is dealt over parts; entries in a part.
+SMALL, HOT, ENTRIES = 8, 100_000, 500_000
+_PREFIX = "sid long, n int, tokens binary, places binary, signature binary"
+#: log2 of the 64-cell words in a signature: about two cells for each shingle, within these bounds; and the most in a list.
+_LEAST_LEVEL, _MOST_LEVEL, _LIST_LEVEL = 2, 10, 6
 
 
 # ---------------------------------------------------------------- sets
@@ -60,7 +73,7 @@ def shingles(data: np.ndarray, offs: np.ndarray, k: int) -> tuple[np.ndarray, np
         out[ragged(bounds[:-1][long], count[long])] = gram_hashes(words, k)[ragged(before[:-1][long], count[long])]
     short = np.flatnonzero((n > 0) & ~long)
     if len(short):
-        out[bounds[short]] = mix(_span_hash(words, before[short], before[short + 1], _WORD_BASE) + n[short].astype(np.uint64))
+        out[bounds[short]] = short_hashes(words, before[short], before[short + 1])
     return out >> np.uint64(4), bounds
 
 
@@ -113,6 +126,21 @@ def _first(sid: np.ndarray) -> np.ndarray:
     return np.sort(at[own != 0])
 
 
+class Fresh:
+    """Tells the sets that a task has not sent before, as far back as it remembers."""
+
+    def __init__(self, most: int = 1 << 20):
+        self.seen: set[int] = set()
+        self.most = most
+
+    def __call__(self, sid: np.ndarray) -> np.ndarray:
+        if len(self.seen) > self.most:
+            self.seen.clear()
+        new = np.array([s not in self.seen for s in sid.tolist()], bool)
+        self.seen.update(sid[new].tolist())
+        return new
+
+
 def prefix_length(n: np.ndarray) -> np.ndarray:
     """A set of n shingles shares at least one of so many first ones with any set it links to."""
     return np.where(n > 0, n - -(-n * PERCENT // 100) + 1, 0)
@@ -123,9 +151,75 @@ def overlap_needed(n: np.ndarray, m: np.ndarray) -> np.ndarray:
     return -(-(n + m) * PERCENT // (100 + PERCENT))
 
 
+def room(n: np.ndarray, m: np.ndarray) -> np.ndarray:
+    """The greatest distance (shingles in one set only) of linked sets of n and m shingles."""
+    return n + m - 2 * overlap_needed(n, m)
+
+
+def signatures(flat: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """The parity signature of each set. The halves of one, added up, are that of the next lower level."""
+    n = np.diff(bounds)
+    level = np.clip(np.ceil(np.log2(np.maximum(n, 1) / 32)), _LEAST_LEVEL, _MOST_LEVEL).astype(np.int64)
+    cells = 64 << level
+    base = np.r_[0, np.cumsum(cells)]
+    at = np.repeat(base[:-1], n) + (mix(flat & _BITS) & np.repeat(cells - 1, n).astype(np.uint64)).astype(np.int64)
+    odd = np.bincount(at, minlength=base[-1]).astype(np.uint8) & 1
+    return binary_column(np.packbits(odd, bitorder="little").view(np.uint64), base // 64)
+
+
+class Signatures:
+    """The signatures of a column, by level, for distances of many pairs at once."""
+
+    def __init__(self, column: pa.Array):
+        flat, bounds = flat_binary(column, np.uint64)
+        words = np.diff(bounds)
+        self.level = np.where(words > 0, np.log2(np.maximum(words, 1)), -1).astype(np.int64)  # -1: none
+        self.at = np.zeros(len(words), np.int64)
+        self.rows: dict[int, np.ndarray] = {}
+        for level in np.unique(self.level[words > 0]).tolist():
+            own = np.flatnonzero(self.level == level)
+            self.at[own] = np.arange(len(own))
+            self.rows[level] = flat[bounds[own][:, None] + np.arange(1 << level)]
+
+    def _folded(self, of: np.ndarray, level: int) -> np.ndarray:
+        out = np.empty((len(of), 1 << level), np.uint64)
+        for own in np.unique(self.level[of]).tolist():
+            here = np.flatnonzero(self.level[of] == own)
+            rows = self.rows[own][self.at[of[here]]]
+            while rows.shape[1] > 1 << level:
+                half = rows.shape[1] // 2
+                rows = rows[:, :half] ^ rows[:, half:]
+            out[here] = rows
+        return out
+
+    def capped(self, most: int) -> pa.Array:
+        """The signatures folded to a level at most."""
+        level = np.minimum(self.level, most)
+        size = np.where(level >= 0, 1 << np.maximum(level, 0), 0)
+        bounds = np.r_[0, np.cumsum(size)]
+        flat = np.zeros(bounds[-1], np.uint64)
+        for own in np.unique(level[level >= 0]).tolist():
+            here = np.flatnonzero(level == own)
+            flat[bounds[here][:, None] + np.arange(1 << own)] = self._folded(here, own)
+        return binary_column(flat, bounds)
+
+    def apart(self, a: np.ndarray, b: np.ndarray, other: Signatures | None = None) -> np.ndarray:
+        """A lower bound of the distance of rows ``a`` from rows ``b`` (of ``other``)."""
+        other = other or self
+        out = np.zeros(len(a), np.int64)
+        low = np.minimum(self.level[a], other.level[b])
+        for level in np.unique(low[low >= 0]).tolist():
+            here = np.flatnonzero(low == level)
+            step = max(1, 1 << 20 >> level)
+            for lo in range(0, len(here), step):
+                part = here[lo : lo + step]
+                out[part] = np.bitwise_count(self._folded(a[part], level) ^ other._folded(b[part], level)).sum(axis=1)
+        return out
+
+
 # ---------------------------------------------------------------- tables
 def _text(docs: DataFrame) -> DataFrame:
-    return docs.where(F.col("text").isNotNull() & F.col("doc_id").isNotNull()).select("text")
+    return docs.where(F.col("text").isNotNull() & F.col("doc_id").isNotNull()).select("text", F.col("doc_id").cast("long").alias("doc_id"))
 
 
 def members(docs: DataFrame, k: int) -> DataFrame:
@@ -171,7 +265,7 @@ def with_sets(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
 
 
 def prefixes(docs: DataFrame, k: int, common, width: int) -> DataFrame:
-    """_PREFIX rows: of each set the prefix shingles that may be shared, their places, and the last prefix shingle."""
+    """_PREFIX rows: of each set the prefix shingles that may be shared, their places, and the set's signature."""
     texts = _text(docs)
 
     def cut(batch: pa.RecordBatch) -> tuple:
@@ -179,45 +273,42 @@ def prefixes(docs: DataFrame, k: int, common, width: int) -> DataFrame:
         sid, n = set_ids(flat, bounds), np.diff(bounds)
         own = _first(sid)
         length = prefix_length(n[own])
-        return sid[own], n[own], length, flat[ragged(bounds[own], length)]
+        return sid[own], n[own], length, flat[ragged(bounds[own], length)], flat[ragged(bounds[own], n[own])]
 
     maps = docs.sparkSession.sparkContext.broadcast(sketch.repeated(texts, lambda b: cut(b)[3], width, lambda it: slices(it, "text")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fresh = Fresh()
         for batch in slices(batches, "text"):
-            sid, n, length, tokens = cut(batch)
+            sid, n, length, tokens, whole = cut(batch)
             keep = sketch.passes(tokens, maps.value, width)
             place = (np.arange(len(tokens)) - np.repeat(np.cumsum(length) - length, length)).astype(np.int32)
-            edge = tokens[np.cumsum(length) - 1].view(np.int64)
             bounds = np.r_[0, np.cumsum(keep)][np.r_[0, np.cumsum(length)]]
-            some = np.flatnonzero(np.diff(bounds) > 0)
-            out = pa.RecordBatch.from_arrays([pa.array(sid), pa.array(n, pa.int32()), binary_column(tokens[keep], bounds), binary_column(place[keep], bounds), pa.array(edge)], [c.split(" ")[0] for c in _PREFIX.split(", ")])
+            some = np.flatnonzero((np.diff(bounds) > 0) & fresh(sid))
+            out = pa.RecordBatch.from_arrays([pa.array(sid), pa.array(n, pa.int32()), binary_column(tokens[keep], bounds), binary_column(place[keep], bounds), signatures(whole, np.r_[0, np.cumsum(n)])], [c.split(" ")[0] for c in _PREFIX.split(", ")])
             yield out.take(pa.array(some))
 
     return texts.mapInArrow(run, _PREFIX)
 
 
 def whole_sets(docs: DataFrame, k: int, wanted: DataFrame) -> DataFrame:
-    """(sid, tokens) for the wanted sids; a bitmap of them, bounded in size, keeps most others from travelling."""
-    count = max(1, wanted.count())
-    width = sketch.width_for(count)
-
-    def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
-        yield from batches
+    """(sid, tokens) for the wanted sets (sid, least), each from its document with the least id.
 
-    # every wanted id counts twice, so that its cell is set
-    maps = docs.sparkSession.sparkContext.broadcast(sketch.repeated(wanted, lambda b: np.repeat(mix(b.column(0).to_numpy().view(np.uint64)), 2), width, cells))
+    A bitmap of these pairs, bounded in size, keeps other sets and other copies from travelling."""
+    key = lambda sid, doc: mix(sid.view(np.uint64) ^ mix(doc.view(np.uint64)))
+    maps = docs.sparkSession.sparkContext.broadcast(sketch.members(wanted.select("sid", "least"), lambda b: key(b.column(0).to_numpy(), b.column(1).to_numpy())))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fresh = Fresh()
         for batch in slices(batches, "text"):
             flat, bounds = ordered_sets(*text_buffers(batch.column(0)), k)
             sid, n = set_ids(flat, bounds), np.diff(bounds)
             own = _first(sid)
-            own = own[sketch.passes(mix(sid[own].view(np.uint64)), maps.value, width)]
+            own = own[sketch.passes(key(sid[own], batch.column(1).to_numpy()[own]), *maps.value)]
+            own = own[fresh(sid[own])]
             yield pa.RecordBatch.from_arrays([pa.array(sid[own]), binary_column(flat[ragged(bounds[own], n[own])], np.r_[0, np.cumsum(n[own])])], ["sid", "tokens"])
 
-    found = _text(docs).mapInArrow(run, "sid long, tokens binary")
-    return found.join(wanted, "sid", "left_semi").dropDuplicates(["sid"])
+    return _text(docs).mapInArrow(run, "sid long, tokens binary").repartition(shuffle_partitions(docs.sparkSession), "sid").dropDuplicates(["sid"])
 
 
 # ---------------------------------------------------------------- candidates
@@ -233,18 +324,6 @@ def _pairs(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], ["a", "b"])
 
 
-def _sized(a: np.ndarray, b: np.ndarray, n: np.ndarray, m: np.ndarray) -> pa.RecordBatch:
-    """Distinct pairs in order with the sizes of both sets."""
-    swap = a > b
-    rows = np.stack([np.where(swap, b, a), np.where(swap, a, b), np.where(swap, m, n), np.where(swap, n, m)], axis=1)
-    order = np.lexsort((rows[:, 1], rows[:, 0]))
-    rows = rows[order]
-    new = np.ones(len(rows), bool)
-    new[1:] = (rows[1:, :2] != rows[:-1, :2]).any(axis=1)
-    rows = rows[new]
-    return pa.RecordBatch.from_arrays([pa.array(rows[:, 0]), pa.array(rows[:, 1]), pa.array(rows[:, 2], pa.int32()), pa.array(rows[:, 3], pa.int32())], ["a", "b", "n", "m"])
-
-
 def _hubs(key: np.ndarray, sid: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Heads of the lists in (key, odd share, sid) order, and the pairs of hubs with others whose sizes can match.
 
@@ -306,13 +385,16 @@ def hub_pairs(prefix: DataFrame) -> DataFrame:
     return sent.repartition(parts, "part").mapInArrow(meet, "a long, b long").distinct()
 
 
-def cross_pairs(prefix: DataFrame, component: DataFrame) -> DataFrame:
-    """(a, b, n, m): the pairs of sets in different components that some list leaves possible, with their sizes."""
-    parts = shuffle_partitions(prefix.sparkSession)
-    rows = prefix.select("sid", "n", "tokens", "places").join(component.select(F.col("node").alias("sid"), "component"), "sid", "left")
-    rows = rows.withColumn("component", F.coalesce("component", "sid"))
-    # lists whose sets lie in one component are skipped: the least and the greatest component of each list, per batch first
-    kinds = "part int, keys binary, low binary, high binary"
+def cross_pairs(prefix: DataFrame, known: DataFrame) -> DataFrame:
+    """(a, b): the pairs of sets in different components that some list leaves possible.
+
+    ``known`` has node, component, hub and own (the distance from the hub) of every set with a link."""
+    spark = prefix.sparkSession
+    parts = shuffle_partitions(spark)
+    rows = prefix.join(known.withColumnRenamed("node", "sid").hint("merge"), "sid", "left").withColumn("component", F.coalesce("component", "sid"))
+    rows = spooled(rows.select("sid", "n", "tokens", "places", "signature", "component", F.coalesce("hub", F.lit(0)).alias("hub"), F.coalesce("own", F.lit(0)).alias("own")), "rows")
+    # lists whose sets lie in one component are skipped: the largest component of each list, per batch first
+    kinds = "part int, keys binary, tops binary, counts binary"
 
     def spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -320,157 +402,217 @@ def cross_pairs(prefix: DataFrame, component: DataFrame) -> DataFrame:
             if not len(tokens):
                 continue
             own = np.repeat(batch.column("component").to_numpy(), count)
-            order = np.argsort(tokens, kind="stable")
-            t, c = tokens[order], own[order]
-            heads = np.flatnonzero(np.r_[True, t[1:] != t[:-1]])
-            key, low, high = t[heads], np.minimum.reduceat(c, heads), np.maximum.reduceat(c, heads)
+            key, top, most, total = _tops(tokens, own, np.ones(len(own), np.int64), np.ones(len(own), np.int64))
             part = (mix(key) % np.uint64(parts)).astype(np.int64)
             order = np.argsort(part, kind="stable")
-            own, heads = np.unique(part[order], return_index=True)
+            at, heads = np.unique(part[order], return_index=True)
             bounds = np.r_[heads, len(order)]
-            yield pa.RecordBatch.from_arrays([pa.array(own, pa.int32()), *(binary_column(x[order], bounds) for x in (key, low, high))], ["part", "keys", "low", "high"])
+            counts = np.stack([most, total], axis=1).astype(np.uint32).view(np.uint64).ravel()
+            yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), *(binary_column(x[order], bounds) for x in (key, top, counts))], ["part", "keys", "tops", "counts"])
 
     def live(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [[flat_binary(batch.column(c), k)[0] for c, k in (("keys", np.uint64), ("low", np.int64), ("high", np.int64))] for batch in batches]
+        held = [[flat_binary(batch.column(c), k)[0] for c, k in (("keys", np.uint64), ("tops", np.int64), ("counts", np.uint64))] for batch in batches]
         if held:
-            key, low, high = (np.concatenate(x) for x in zip(*held, strict=True))
-            order = np.argsort(key, kind="stable")
-            k, lo, hi = key[order], low[order], high[order]
-            heads = np.flatnonzero(np.r_[True, k[1:] != k[:-1]]) if len(k) else np.zeros(0, np.int64)
-            keep = heads[np.minimum.reduceat(lo, heads) != np.maximum.reduceat(hi, heads)] if len(k) else heads
-            yield pa.RecordBatch.from_arrays([pa.array(k[keep].view(np.int64))], ["token"])
-
-    tokens = settled(rows.mapInArrow(spans, kinds).repartition(parts, "part").mapInArrow(live, "token long"))
+            key, top, counts = (np.concatenate(x) for x in zip(*held, strict=True))
+            counts = counts.view(np.uint32).reshape(-1, 2).astype(np.int64)
+            key, top, most, total = _tops(key, top, counts[:, 0], counts[:, 1])
+            keep = most < total
+            yield pa.RecordBatch.from_arrays([pa.array(key[keep].view(np.int64)), pa.array(total[keep]), pa.array(top[keep])], ["token", "sets", "major"])
+
+    tokens = settled(rows.select("sid", "n", "tokens", "places", "component").mapInArrow(spans, kinds).repartition(parts, "part").mapInArrow(live, "token long, sets long, major long"))
+    # bitmaps of the lists that are left and of those that are not small, bounded in size, keep what is not needed from travelling
+    maps = [sketch.members(tokens.where(F.col("sets") > least).select("token"), lambda b: mix(b.column(0).to_numpy().view(np.uint64))) for least in (1, SMALL)]
+    kept = spark.sparkContext.broadcast(maps)
+
+    total, most = tokens.agg(F.sum("sets"), F.max("sets")).first()
+    dealt = max(parts, -(-(total or 0) // ENTRIES))
+    # lists that are dealt over parts: so many at most as all entries by ``HOT``
+    hot = tokens.where(F.col("sets") > HOT).orderBy("token").toArrow() if (most or 0) > HOT else None
+    split = spark.sparkContext.broadcast(None if hot is None else (hot.column("token").to_numpy(), hot.column("major").to_numpy(), -(-hot.column("sets").to_numpy() // HOT)))
 
     def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            t, sid, n, place, count = _flat(batch)
-            own = np.repeat(batch.column("component").to_numpy(), count)
-            yield pa.RecordBatch.from_arrays([pa.array(t.view(np.int64)), pa.array(sid), pa.array(n, pa.int32()), pa.array(place, pa.int32()), pa.array(own)], ["token", "sid", "n", "place", "component"])
-
-    lists = rows.mapInArrow(entries, "token long, sid long, n int, place int, component long").join(tokens, "token", "left_semi")
-    lists = lists.repartition("token").sortWithinPartitions("token", "n", "place")
-
-    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest: list[pa.RecordBatch] = []
-        for batch in batches:
-            rest.append(batch)
-            table = pa.Table.from_batches(rest).combine_chunks()
-            token = table.column("token").to_numpy()
-            end = int(np.searchsorted(token, token[-1]))
-            if end:
-                yield from possible(table.slice(0, end).combine_chunks())
-            rest = table.slice(end).combine_chunks().to_batches()
-        if rest:
-            yield from possible(pa.Table.from_batches(rest).combine_chunks())
+            t, sid, _, place, count = _flat(batch)
+            of = np.repeat(np.arange(batch.num_rows), count)
+            wanted, signed = (sketch.passes(mix(t), *m) for m in kept.value)
+            t, of, place, sid, signed = t[wanted], of[wanted], place[wanted], sid[wanted], signed[wanted]
+            salt = np.zeros(len(t), np.int64)
+            if split.value is not None:
+                again, salt = _salted(t.view(np.int64), sid, batch.column("component").to_numpy()[of], *split.value)
+                t, of, place, signed = t[again], of[again], place[again], signed[again]
+            part = ((mix(t) + salt.astype(np.uint64)) % np.uint64(dealt)).astype(np.int64)
+            small = Signatures(batch.column("signature")).capped(_LIST_LEVEL)
+            order = np.lexsort((part, of))
+            t, of, place, signed, salt, part = (x[order] for x in (t, of, place, signed, salt, part))
+            heads = np.flatnonzero(np.r_[True, (of[1:] != of[:-1]) | (part[1:] != part[:-1])]) if len(t) else np.zeros(0, np.int64)
+            bounds = np.r_[heads, len(t)]
+            bare = ~np.logical_or.reduceat(signed, heads) if len(t) else np.zeros(0, bool)
+            for lo in range(0, len(heads), 1 << 13):
+                hi = min(lo + (1 << 13), len(heads))
+                at, cut = of[heads[lo:hi]], bounds[lo : hi + 1]
+                own = [batch.column(c).take(pa.array(at)) for c in ("sid", "n", "component", "hub", "own")]
+                signature = small.take(pa.array(at, mask=bare[lo:hi]))
+                yield pa.RecordBatch.from_arrays([pa.array(part[heads[lo:hi]], pa.int32()), *own, signature, *(binary_column(x, cut) for x in (t, place.astype(np.int32), salt.astype(np.int32)))], [c.split(" ")[0] for c in _ENTRIES.split(", ")])
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, n = [], 0
-        for pairs in found(batches):  # a pair that many lists hold leaves the task once
-            held.append(pairs)
-            n += pairs.num_rows
-            if n > 1 << 20:
-                held = [_sized(*(np.concatenate([p.column(i).to_numpy() for p in held]) for i in range(4)))]
-                if (n := held[0].num_rows) > 1 << 19:
-                    yield held[0]
-                    held, n = [], 0
+        held = [b for b in batches if b.num_rows]
         if held:
-            yield _sized(*(np.concatenate([p.column(i).to_numpy() for p in held]) for i in range(4)))
-
-    return lists.mapInArrow(meet, "a long, b long, n int, m int").distinct()
-
-
-def possible(table: pa.Table, room: int = 1 << 20) -> Iterator[pa.RecordBatch]:
-    """Pairs of list entries (sorted by token, n, place) whose sizes, places and components allow a link.
+            table = pa.Table.from_batches(held).combine_chunks()
+            pairs: list[np.ndarray] = []
+            size = 0
+            for found in possible(table, split.value):  # a pair that many lists hold leaves the task once
+                pairs.append(found)
+                size += len(found)
+                if size > 1 << 20:
+                    pairs = [np.unique(np.concatenate(pairs), axis=0)]
+                    if (size := len(pairs[0])) > 1 << 19:
+                        yield _both(pairs[0])
+                        pairs, size = [], 0
+            if pairs:
+                yield _both(np.unique(np.concatenate(pairs), axis=0))
+
+    return rows.mapInArrow(entries, _ENTRIES).repartition(dealt, "part").mapInArrow(meet, "a long, b long").distinct()
+
+
+def _both(pairs: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+
+
+def _salted(token: np.ndarray, sid: np.ndarray, component: np.ndarray, hot: np.ndarray, major: np.ndarray, parts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(positions, salts): an entry of a hot list goes to one part of the list if its set is of the list's largest component, else to all."""
+    at = np.minimum(np.searchsorted(hot, token), len(hot) - 1)
+    is_hot = hot[at] == token
+    alone = is_hot & (component == major[at])
+    times = np.where(is_hot & ~alone, parts[at], 1)
+    again = np.repeat(np.arange(len(token)), times)
+    salt = np.arange(len(again)) - np.repeat(np.cumsum(times) - times, times)
+    return again, np.where(alone[again], (mix(sid[again].view(np.uint64)) % parts[at[again]].astype(np.uint64)).astype(np.int64), salt)
+
+
+def possible(table: pa.Table, split: tuple | None = None, most: int = 1 << 18) -> Iterator[np.ndarray]:
+    """Pairs of sets whose entries (rows of ``_ENTRIES``) meet in a list and whose sizes, places, components, hubs and signatures allow a link."""
+    flat, bounds = flat_binary(table.column("tokens"), np.uint64)
+    if not len(flat):
+        return
+    row = np.repeat(np.arange(table.num_rows), np.diff(bounds))
+    place, salt = (flat_binary(table.column(c), np.int32)[0].astype(np.int64) for c in ("places", "salts"))
+    sizes = table.column("n").to_numpy().astype(np.int64)
+    order = np.lexsort((place, sizes[row], salt, flat))
+    token, row, place, salt = flat[order].view(np.int64), row[order], place[order], salt[order]
+    sid, n, own, hub, lead = (table.column(c).to_numpy().astype(np.int64)[row] for c in ("sid", "n", "component", "hub", "own"))
+    signed = Signatures(table.column("signature").combine_chunks())
+    lists = np.cumsum(np.r_[False, (token[1:] != token[:-1]) | (salt[1:] != salt[:-1])])
+    one = np.ones(len(own), np.int64)
+    _, top, _, _ = _tops(lists, own, one, one)
+    major, parts = top[lists], one
+    if split is not None:
+        at = np.minimum(np.searchsorted(split[0], token), len(split[0]) - 1)
+        same = split[0][at] == token
+        major, parts = np.where(same, split[1][at], major), np.where(same, split[2][at], 1)
+    minor = own != major
+    # where the hub of each entry stands in the same list, or -1
+    order = np.lexsort((sid, lists))
+    _, rank = np.unique(np.r_[sid, hub], return_inverse=True)
+    span = int(rank.max()) + 1
+    keys = lists[order] * span + rank[: len(sid)][order]
+    wanted = lists * span + rank[len(sid) :]
+    spot = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    leader = np.where((keys[spot] == wanted) & (hub != 0), order[spot], -1)
+    every = np.arange(len(sid))
+    for x, y in ((every[minor], every), (every[~minor], every[minor])):
+        for a, b in _windows(lists, n, place, x, y, most):
+            keep = (own[a] != own[b]) & (sid[a] != sid[b])
+            # sets that every part of a list has meet in one of them
+            keep &= ~(minor[a] & minor[b]) | ((sid[a] ^ sid[b]) % parts[a] == salt[a])
+            a, b = a[keep], b[keep]
+            allowed = room(n[a], n[b])
+            for p, q in ((a, b), (b, a)):  # the answer of p is derived from that of its hub
+                some = np.flatnonzero(leader[p] >= 0)
+                pair, back = np.unique(leader[p[some]] * len(sid) + q[some], return_inverse=True)
+                bound = signed.apart(row[pair // len(sid)], row[pair % len(sid)])[back] - lead[p[some]]
+                allowed[some[bound > allowed[some]]] = -1
+            keep = np.flatnonzero(allowed >= 0)
+            keep = keep[signed.apart(row[a[keep]], row[b[keep]]) <= allowed[keep]]
+            found = np.stack([np.minimum(sid[a[keep]], sid[b[keep]]), np.maximum(sid[a[keep]], sid[b[keep]])], axis=1)
+            yield np.unique(found, axis=0)
+
+
+def _tops(key: np.ndarray, own: np.ndarray, most: np.ndarray, total: np.ndarray) -> tuple[np.ndarray, ...]:
+    """For each key (ascending) the component with the greatest sum of ``most``, that sum, and the sum of ``total``."""
+    if not len(key):
+        return key, own, most, total
+    order = np.lexsort((own, key))
+    k, c, n, t = key[order], own[order], most[order], total[order]
+    head = np.flatnonzero(np.r_[True, (k[1:] != k[:-1]) | (c[1:] != c[:-1])])
+    k, c, n, t = k[head], c[head], np.add.reduceat(n, head), np.add.reduceat(t, head)
+    best = np.lexsort((n, k))
+    last = best[np.flatnonzero(np.r_[k[1:] != k[:-1], True])]
+    return k[last], c[last], n[last], np.add.reduceat(t, np.flatnonzero(np.r_[True, k[1:] != k[:-1]]))
+
+
+def _windows(lists: np.ndarray, n: np.ndarray, place: np.ndarray, x: np.ndarray, y: np.ndarray, most: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of entries ``x`` and ``y`` (both ascending) of one list where y is no larger and sizes and places allow a link.
 
     A block is the entries of one list and size. A block as a whole is skipped for an entry if its size
     is too small or the entry stands too far back; of a block that is not, only the entries up to the
     last useful place are read."""
-    token, sid, n, place, own = (table.column(c).to_numpy().astype(np.int64) for c in ("token", "sid", "n", "place", "component"))
-    if not len(token):
+    if not len(x) or not len(y):
         return
-    head = np.flatnonzero(np.r_[True, (token[1:] != token[:-1]) | (n[1:] != n[:-1])])
-    block = np.repeat(np.arange(len(head)), np.diff(np.r_[head, len(token)]))
-    b_token, b_n, b_end = token[head], n[head], np.r_[head[1:], len(token)]
-    lists = np.flatnonzero(np.r_[True, b_token[1:] != b_token[:-1]])
-    first_block = np.repeat(lists, np.diff(np.r_[lists, len(b_token)]))
-    # for each block the first block of its list whose sets are large enough
-    span = int(b_n.max()) + 1
-    serial = np.repeat(np.arange(len(lists)), np.diff(np.r_[lists, len(b_token)]))
-    low = np.maximum(first_block, np.searchsorted(serial * span + b_n, serial * span + -(-b_n * PERCENT // 100)))
-    count = block - low[block] + 1
-    for lo, hi in _rooms(count, room):
-        x = np.repeat(np.arange(lo, hi), count[lo:hi])
-        b = ragged(low[block[lo:hi]], count[lo:hi])
-        need = overlap_needed(n[x], b_n[b])
-        reach = b_n[b] - need
-        ok = (place[x] <= n[x] - need) & (reach >= place[head[b]])
-        x, b, reach = x[ok], b[ok], reach[ok]
-        wide = int(place.max()) + 2
-        stop = np.searchsorted(block * wide + place, b * wide + np.minimum(reach, wide - 2), "right")
-        stop = np.minimum(np.minimum(stop, b_end[b]), np.where(b == block[x], x, stop))
-        size = np.maximum(stop - head[b], 0)
-        for p, q in _rooms(size, room):
-            a, y = np.repeat(x[p:q], size[p:q]), ragged(head[b[p:q]], size[p:q])
-            keep = (own[a] != own[y]) & (sid[a] != sid[y])
-            a, y = a[keep], y[keep]
-            yield _sized(sid[a], sid[y], n[a], n[y])
-
-
-def _rooms(count: np.ndarray, room: int) -> Iterator[tuple[int, int]]:
-    """Ranges of rows whose counts sum to about ``room``."""
+    l, m, at = lists[y], n[y], place[y]
+    new = np.r_[True, (l[1:] != l[:-1]) | (m[1:] != m[:-1])]
+    head, block = np.flatnonzero(new), np.cumsum(new) - 1
+    size, end = m[head], np.r_[head[1:], len(y)]
+    span, wide = int(n.max()) + 1, int(place.max()) + 2
+    keys = l[head] * span + size
+    low = np.searchsorted(keys, lists[x] * span + -(-n[x] * PERCENT // 100))
+    count = np.maximum(np.searchsorted(keys, lists[x] * span + n[x], "right") - low, 0)
+    for lo, hi in _rooms(count, most):
+        a, b = np.repeat(x[lo:hi], count[lo:hi]), ragged(low[lo:hi], count[lo:hi])
+        need = overlap_needed(n[a], size[b])
+        reach = size[b] - need
+        ok = (place[a] <= n[a] - need) & (reach >= at[head[b]])
+        a, b, reach = a[ok], b[ok], reach[ok]
+        stop = np.minimum(np.searchsorted(block * wide + at, b * wide + np.minimum(reach, wide - 2), "right"), end[b])
+        each = np.maximum(stop - head[b], 0)
+        for p, q in _rooms(each, most):
+            yield np.repeat(a[p:q], each[p:q]), y[ragged(head[b[p:q]], each[p:q])]
+
+
+def _rooms(count: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """Ranges of rows whose counts sum to about ``most``."""
     total = np.cumsum(count)
     lo = 0
     while lo < len(count):
-        hi = max(lo + 1, int(np.searchsorted(total, (total[lo - 1] if lo else 0) + room, "right")))
+        hi = max(lo + 1, int(np.searchsorted(total, (total[lo - 1] if lo else 0) + most, "right")))
         yield lo, hi
         lo = hi
 
 
 # ---------------------------------------------------------------- answers
 def bounded(pairs: DataFrame, prefix: DataFrame) -> DataFrame:
-    """The pairs with sizes n and m, and ``apart``: at least so many shingles lie in one set only.
-
-    Up to the smaller of the two last prefix shingles, both prefixes are whole, and what they do not
-    share there lies in one set only."""
-    own = prefix.select("sid", "n", "tokens", "places", "edge")
-    left = own.select(F.col("sid").alias("a"), "n", F.col("tokens").alias("ta"), F.col("places").alias("pa"), F.col("edge").alias("ea"))
-    right = own.select(F.col("sid").alias("b"), F.col("n").alias("m"), F.col("tokens").alias("tb"), F.col("places").alias("pb"), F.col("edge").alias("eb"))
+    """(a, b) of the pairs that the signatures of both leave possible."""
+    own = prefix.select("sid", F.col("n").cast("long").alias("n"), "signature")
+    # both sides look alike, so that one exchange of the signatures serves both
+    left = own.select(F.col("sid").alias("a"), F.col("n").alias("n"), F.col("signature").alias("x"))
+    right = own.select(F.col("sid").alias("b"), F.col("n").alias("m"), F.col("signature").alias("y"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = batch.num_rows
-            both = [flat_binary(batch.column(c), np.uint64) for c in ("ta", "tb")]
-            places = [flat_binary(batch.column(c), np.int32)[0].astype(np.int64) for c in ("pa", "pb")]
-            n, m = batch.column("n").to_numpy().astype(np.int64), batch.column("m").to_numpy().astype(np.int64)
-            ea, eb = (batch.column(c).to_numpy().view(np.uint64) for c in ("ea", "eb"))
-            end = np.minimum(ea, eb)
-            row = [np.repeat(np.arange(rows), np.diff(b)) for _, b in both]
-            tokens = np.concatenate([both[0][0], both[1][0]])
-            of = np.concatenate(row)
-            order = np.lexsort((tokens, of))
-            t, r = tokens[order], of[order]
-            twice = (t[1:] == t[:-1]) & (r[1:] == r[:-1]) & (t[1:] <= end[r[1:]])
-            shared = np.bincount(r[1:][twice], minlength=rows)
-            # places up to ``end``: all of the prefix that ends first; of the other at least up to its last listed shingle
-            counted = []
-            for (flat, _), at, rr, size, edge in zip(both, places, row, (n, m), (ea, eb), strict=True):
-                inside = np.zeros(rows, np.int64)
-                keep = flat <= end[rr]
-                np.maximum.at(inside, rr[keep], at[keep] + 1)
-                counted.append(np.where(edge == end, prefix_length(size), inside))
-            apart = np.maximum(counted[0] + counted[1] - 2 * shared, 0)
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(n, pa.int32()), pa.array(m, pa.int32()), pa.array(apart, pa.int32())], ["a", "b", "n", "m", "apart"])
-
-    joined = pairs.join(left, "a").join(right, "b").select("a", "b", "n", "m", "ta", "tb", "pa", "pb", "ea", "eb")
-    return joined.mapInArrow(run, "a long, b long, n int, m int, apart int")
-
-
-def _open(apart: str = "apart"):
-    """Pairs that a bound on the distance leaves possible."""
+            at = np.arange(batch.num_rows)
+            n, m = batch.column("n").to_numpy(), batch.column("m").to_numpy()
+            near = Signatures(batch.column("x")).apart(at, at, Signatures(batch.column("y"))) <= room(n, m)
+            yield pa.RecordBatch.from_arrays([batch.column(c).filter(pa.array(near)) for c in ("a", "b")], ["a", "b"])
+
+    # merged at every size, as they must be at the large ones
+    joined = pairs.join(left.hint("merge"), "a").join(right.hint("merge"), "b").select("a", "b", "n", "m", "x", "y")
+    return joined.mapInArrow(run, "a long, b long")
+
+
+def _open():
+    """Pairs that link by their distance ``apart``."""
     total = F.col("n") + F.col("m")
     need = F.ceil(total * PERCENT / (100 + PERCENT) - 1e-9)
-    return F.col(apart) <= total - 2 * need
+    return F.col("apart") <= total - 2 * need
 
 
 def compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -490,11 +632,12 @@ def compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([part.column("a"), part.column("b"), pa.array(n, pa.int32()), pa.array(m, pa.int32()), pa.array(n + m - 2 * shared, pa.int32())], ["a", "b", "n", "m", "apart"])
 
     left, right = sets.select(F.col("sid").alias("a"), F.col("tokens").alias("ta")), sets.select(F.col("sid").alias("b"), F.col("tokens").alias("tb"))
-    return pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long, n int, m int, apart int")
+    return pairs.select("a", "b").join(left.hint("merge"), "a").join(right.hint("merge"), "b").select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long, n int, m int, apart int")
 
 
-def _ids(pairs: DataFrame) -> DataFrame:
-    return pairs.select(F.col("a").alias("sid")).unionByName(pairs.select(F.col("b").alias("sid"))).distinct()
+def _ids(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The sets of the pairs, with the least doc_id of each."""
+    return pairs.select(F.col("a").alias("sid")).unionByName(pairs.select(F.col("b").alias("sid"))).distinct().join(sets.select("sid", "least"), "sid")
 
 
 def linked(docs: DataFrame, k: int = SHINGLE, named_sets: bool = False) -> DataFrame:
@@ -508,28 +651,20 @@ def linked(docs: DataFrame, k: int = SHINGLE, named_sets: bool = False) -> DataF
     shared = sets.agg(F.sum("n")).first()[0] or 0
     prefix = spooled(prefixes(docs, k, common, sketch.width_for(shared * (100 - PERCENT) / 100)).dropDuplicates(["sid"]), "prefix")
 
-    first = spooled(bounded(hub_pairs(prefix), prefix), "bounded")
-    open_1 = settled(first.where(_open()))
-    known = spooled(compared(open_1, spooled(whole_sets(docs, k, settled(_ids(open_1))), "whole")), "compared")
+    open_1 = settled(bounded(hub_pairs(prefix), prefix))
+    known = spooled(compared(open_1, whole_sets(docs, k, settled(_ids(open_1, sets)))), "compared")
     links = known.where(_open())
     component = spooled(components(links), "component")
 
-    # what is known of each set and hub, in both directions: exact distances, and bounds of those not compared
+    # the nearest set that each set is linked with, and the distance from it
     near = links.select("a", "b", "apart")
     near = near.unionByName(near.select(F.col("b").alias("a"), F.col("a").alias("b"), "apart"))
-    far = first.where(~_open()).select("a", "b", "apart").unionByName(known.where(~_open()).select("a", "b", "apart"))
-    far = spooled(far.unionByName(far.select(F.col("b").alias("a"), F.col("a").alias("b"), "apart")), "far")
-    hub = spooled(near.groupBy("a").agg(F.min_by("b", "apart").alias("hub"), F.min("apart").alias("own")), "hub")
-
-    cross = spooled(cross_pairs(prefix, component), "cross")
-    cross = cross.join(far.select("a", "b"), ["a", "b"], "left_anti")
-    for x, y in (("a", "b"), ("b", "a")):
-        derived = far.select(F.col("a").alias("hub"), F.col("b").alias(y), F.col("apart").alias("theirs"))
-        cross = cross.join(hub.withColumnRenamed("a", x), x, "left").join(derived, ["hub", y], "left")
-        cross = cross.withColumn("least", F.coalesce(F.col("theirs") - F.col("own"), F.lit(0))).where(_open("least")).select("a", "b", "n", "m")
-    second = settled(bounded(spooled(cross.select("a", "b"), "open"), prefix).where(_open()))
+    hub = near.groupBy(F.col("a").alias("node")).agg(F.min_by("b", F.struct("apart", "b")).alias("hub"), F.min("apart").alias("own"))
+    cross = cross_pairs(prefix, spooled(component.join(hub, "node"), "hubs"))
+    cross = spooled(cross.join(known.select("a", "b"), ["a", "b"], "left_anti"), "cross")
+    second = settled(bounded(cross, prefix))
     if not second.isEmpty():
-        more = compared(second, spooled(whole_sets(docs, k, settled(_ids(second))), "whole")).where(_open()).select("a", "b")
+        more = compared(second, whole_sets(docs, k, settled(_ids(second, sets)))).where(_open()).select("a", "b")
         component = spooled(components(links.select("a", "b").unionByName(more)), "component")
 
     named = sets.join(component.withColumnRenamed("node", "sid"), "sid", "left").select("sid", "least", F.coalesce("component", "sid").alias("component"))

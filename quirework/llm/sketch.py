@@ -30,6 +30,17 @@ def _cells(keys: np.ndarray, width: int, row: int) -> np.ndarray:
     return ((keys * _ODD[row]) >> np.uint64(64 - width)).astype(np.int64)
 
 
+def _gaps(words: np.ndarray) -> bytes:
+    """Ascending words as the gaps between them, of two bytes where all fit, after a byte that says how many."""
+    gap = np.diff(words, prepend=np.uint32(0))
+    size = 2 if int(gap.max()) < 1 << 16 else 4
+    return bytes([size]) + gap.astype(f"<u{size}").tobytes()
+
+
+def _ungaps(raw: bytes) -> np.ndarray:
+    return np.cumsum(np.frombuffer(raw, f"<u{raw[0]}", offset=1), dtype=np.uint32)
+
+
 def repeated(docs: DataFrame, keys_of: Callable[[pa.RecordBatch], np.ndarray], width: int, cut: Callable) -> list[np.ndarray]:
     """The bitmap of each row. ``cut`` slices the batches of a partition; ``keys_of`` gives the keys of a
     slice, one for each time that they count."""
@@ -42,14 +53,14 @@ def repeated(docs: DataFrame, keys_of: Callable[[pa.RecordBatch], np.ndarray], w
             blocks = at >> BLOCK
             heads = np.flatnonzero(np.r_[True, blocks[1:] != blocks[:-1]]) if len(at) else np.zeros(0, np.int64)
             word = ((at & ((1 << BLOCK) - 1)) << 1 | (counts > 1)).astype(np.uint32)
-            parts = [w.tobytes() for w in np.split(word, heads[1:])] if len(at) else []
+            parts = [_gaps(w) for w in np.split(word, heads[1:])] if len(at) else []
             yield pa.RecordBatch.from_arrays([pa.array(blocks[heads] * ROWS + row, pa.int32()), pa.array(parts, pa.binary())], ["block", "cells"])
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, np.ndarray] = {}
         for batch in batches:
             for block, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                word = np.frombuffer(raw, np.uint32)
+                word = _ungaps(raw)
                 count = held.setdefault(block, np.zeros(1 << BLOCK, np.uint8))
                 at = word >> 1
                 count[at] = np.minimum(count[at] + 1 + (word & 1).astype(np.uint8), 2)
@@ -66,6 +77,13 @@ def repeated(docs: DataFrame, keys_of: Callable[[pa.RecordBatch], np.ndarray], w
     return maps
 
 
+def members(wanted: DataFrame, keys_of: Callable[[pa.RecordBatch], np.ndarray]) -> tuple[list[np.ndarray], int]:
+    """Bitmaps in which :func:`passes` finds every key of ``wanted``, and their width."""
+    width = width_for(wanted.count())
+    # every key counts twice, so that its cell is set
+    return repeated(wanted, lambda b: np.repeat(keys_of(b), 2), width, lambda batches: batches), width
+
+
 def passes(keys: np.ndarray, maps: list[np.ndarray], width: int) -> np.ndarray:
     """Which keys the sketch estimates at two or more."""
     out = np.ones(len(keys), bool)

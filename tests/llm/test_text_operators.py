@@ -124,6 +124,7 @@ def test_substrings(spark, monkeypatch, seed):
     whole = substring.marks
     monkeypatch.setattr(substring, "marks", lambda d, w=win: whole(d, w, 3))
     monkeypatch.setattr(substring, "TOGETHER", 200)
+    monkeypatch.setattr(substring, "HOT", 2 if seed == 4 else 512)
     want = cut_by_hand(docs, win)
     got = substring.deduplicated(frame(spark, docs), win).collect()
     assert sorted(((r.doc_id, r.n_words, r.n_removed, " ".join((r.text or "").split())) for r in got), key=str) == want
@@ -166,6 +167,8 @@ def linked_by_hand(docs, k=5, percent=75):
 @pytest.mark.parametrize("seed", [1, 2])
 def test_similar_documents(spark, monkeypatch, seed):
     monkeypatch.setattr(jaccard, "COMMON", 3)
+    monkeypatch.setattr(jaccard, "SMALL", seed)
+    monkeypatch.setattr(jaccard, "HOT", 4 if seed == 2 else 100_000)
     rng, docs = random.Random(seed), []
     for _ in range(25):
         base = [rng.choice("abcdefghij") for _ in range(rng.randint(1, 60))]
@@ -184,23 +187,63 @@ def test_similar_corner_cases(spark):
     assert sorted(map(tuple, lonely)) == [(1, 0, 1), (2, 0, 2), (3, 1, 3)]
 
 
-def test_list_blocks_leave_no_possible_pair():
+def near_sets(rng, groups, most):
+    """Sets of made-up shingles: near copies of some bases, of many sizes."""
+    out = []
+    for _ in range(groups):
+        base = rng.integers(0, 1 << 60, rng.integers(4, most), dtype=np.uint64)
+        for _ in range(rng.integers(1, 9)):
+            keep = base[rng.random(len(base)) < rng.choice([0.6, 0.8, 0.95])]
+            out.append(np.unique(np.r_[keep, rng.integers(0, 1 << 60, rng.integers(0, len(base) // 4 + 1), dtype=np.uint64)]))
+    return [x for x in out if len(x)]
+
+
+def test_signatures_bound_the_distance():
+    sets = near_sets(np.random.default_rng(1), 40, 6000)
+    signed = jaccard.Signatures(jaccard.signatures(np.concatenate(sets), np.r_[0, np.cumsum([len(x) for x in sets])]))
+    a, b = (x.ravel() for x in np.meshgrid(np.arange(len(sets)), np.arange(len(sets))))
+    true = np.array([len(np.setxor1d(sets[i], sets[j])) for i, j in zip(a, b, strict=True)])
+    bound = signed.apart(a, b)
+    assert (bound <= true).all() and (bound[a == b] == 0).all()
+    size = np.array([len(x) for x in sets])
+    fair = (np.maximum(signed.level[a], signed.level[b]) < 6) & (true > 40) & (2 * true < np.minimum(size[a], size[b]))
+    assert fair.any() and bound[fair].mean() > 0.7 * true[fair].mean()
+
+
+@pytest.mark.parametrize("seed", [0, 1])
+def test_list_blocks_leave_no_linked_pair(seed):
     import pyarrow as pa
 
-    rng = np.random.default_rng(0)
-    n = 300
-    t = {"token": rng.integers(0, 6, n), "sid": np.arange(n), "n": rng.integers(4, 40, n).astype(np.int32), "place": rng.integers(0, 10, n).astype(np.int32), "component": rng.integers(0, 40, n)}
-    order = np.lexsort((t["place"], t["n"], t["token"]))
-    table = pa.table({k: v[order] for k, v in t.items()})
-    got = {(r["a"], r["b"]) for b in jaccard.possible(table, 500) for r in b.to_pylist()}
-    want = set()
-    rows = table.to_pylist()
-    for i, x in enumerate(rows):
-        for y in rows[:i]:
-            need = -(-(x["n"] + y["n"]) * 75 // 175)
-            if x["token"] == y["token"] and x["component"] != y["component"] and 4 * y["n"] >= 3 * x["n"] and x["place"] <= x["n"] - need and y["place"] <= y["n"] - need:
-                want.add((min(x["sid"], y["sid"]), max(x["sid"], y["sid"])))
-    assert got == want
+    rng = np.random.default_rng(seed)
+    sets = near_sets(rng, 30, 80)
+    count = len(sets)
+    size = np.array([len(x) for x in sets])
+    linked = lambda i, j: 100 * len(np.intersect1d(sets[i], sets[j])) >= 75 * len(np.union1d(sets[i], sets[j]))
+    component = rng.integers(0, 12, count)
+    hub = rng.integers(0, count, count)
+    rows = []
+    for i, own in enumerate(sets):
+        for place, token in enumerate(own[: jaccard.prefix_length(np.array([len(own)]))[0]]):
+            rows.append((int(token >> np.uint64(1)), i + 1, size[i], place, component[i], hub[i] + 1, len(np.setxor1d(own, sets[hub[i]])), i))
+    packed = jaccard.signatures(np.concatenate(sets), np.r_[0, np.cumsum(size)])
+    table = []
+    for i in range(count):
+        own = [r for r in rows if r[-1] == i]
+        tokens, places = np.array([r[0] for r in own], np.uint64), np.array([r[3] for r in own], np.int32)
+        table.append((0, i + 1, size[i], component[i], hub[i] + 1, own[0][6], None if i % 5 == 0 else packed[i].as_py(), tokens.tobytes(), places.tobytes(), bytes(4 * len(own))))
+    kinds = [pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), *[pa.binary()] * 4]
+    names = [c.split(" ")[0] for c in jaccard._ENTRIES.split(", ")]
+    table = pa.table([pa.array(c, k) for c, k in zip(zip(*table, strict=True), kinds, strict=True)], names)
+    got = {(a - 1, b - 1) for part in jaccard.possible(table, most=500) for a, b in part.tolist()}
+    want = {(i, j) for j in range(count) for i in range(j) if component[i] != component[j] and linked(i, j)}
+    assert len(want) > 10 and want <= got and all(component[i] != component[j] for i, j in got)
+
+
+def test_very_long_text_among_its_copies(spark):
+    words = [f"w{i}" for i in range(300_000)]
+    docs = [(1, " ".join(words)), (2, " ".join(words[:290_000])), (3, " ".join(words[:200_000])), (4, "w1 w2 w3 w4 w5 w6")]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.linked(frame(spark, docs)).collect()}
+    assert got == {1: (299_996, 1), 2: (289_996, 1), 3: (199_996, 3), 4: (2, 4)}
 
 
 # ---------------------------------------------------------------- language model
