@@ -31,6 +31,9 @@ KNOWN_WORDS = 250_000
 # White space as the tokenizer's own \s has it, and its word pattern.
 _SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 _ASCII_WORD = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\t-\r a-z0-9]+")  # the same over ASCII
+# The same over the first 256 characters, whose classes are spelt out for the faster engine.
+_LATIN = {kind: "".join(chr(i) for i in range(128, 256) if unicodedata.category(chr(i))[0] == kind) for kind in "LN"}
+_LATIN_WORD = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[A-Za-z{_LATIN['L']}]+|[0-9{_LATIN['N']}]|[^\t-\r \x85\xa0A-Za-z0-9{_LATIN['L']}{_LATIN['N']}]+")
 _WORD = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^" + _SPACE + r"\p{L}\p{N}]+"
 
 
@@ -100,6 +103,19 @@ class MergeTable:
         return ids[np.argsort(word, kind="stable")], np.bincount(word, minlength=len(words))
 
 
+class Known(dict):
+    """Numbers words as they come; ``new`` holds those that no one has asked for before."""
+
+    def __init__(self, first: list[str]):
+        super().__init__((w, k) for k, w in enumerate(first))
+        self.new: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        self.new.append(word)
+        k = self[word] = len(self)
+        return k
+
+
 class Encoder:
     """Encodes lists of texts. Words keep their ids in a bounded table from one list to the next."""
 
@@ -110,12 +126,18 @@ class Encoder:
         self._empty()
 
     def _empty(self) -> None:
-        self.known = {f" {t}": k for k, t in enumerate(self.table.added)}  # no word holds a space
+        self.known = Known([f" {t}" for t in self.table.added])  # no word holds a space
         self.ids = [np.array([*self.table.added.values()], np.int64)]
         self.counts = [np.ones(len(self.table.added), np.int64)]
 
     def _find(self, text: str) -> list[str]:
-        return _ASCII_WORD.findall(text.lower()) if text.isascii() else self.split.findall(_normal(text))
+        if text.isascii():
+            return _ASCII_WORD.findall(text.lower())
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return self.split.findall(_normal(text))
+        return _LATIN_WORD.findall(text.lower())  # these are in normal form already
 
     def words(self, text: str | None) -> list[str]:
         if not text:
@@ -134,16 +156,14 @@ class Encoder:
         cut = [self.words(t) for t in texts]
         if len(self.known) > KNOWN_WORDS:
             self._empty()
-        known = self.known
-        if new := list(set().union(*cut).difference(known)):
-            for k, w in enumerate(new, len(known)):
-                known[w] = k
-            ids, counts = self.table.merge_words([w.encode() for w in new])
+        n = np.fromiter(map(len, cut), np.int64, len(cut))
+        at = np.fromiter(map(self.known.__getitem__, chain.from_iterable(cut)), np.int64, int(n.sum()))
+        if self.known.new:
+            ids, counts = self.table.merge_words([w.encode() for w in self.known.new])
             self.ids, self.counts = [np.concatenate([*self.ids, ids])], [np.concatenate([*self.counts, counts])]
+            self.known.new = []
         ids, counts = self.ids[0], self.counts[0]
         starts = np.cumsum(counts) - counts
-        n = np.fromiter(map(len, cut), np.int64, len(cut))
-        at = np.fromiter(map(known.__getitem__, chain.from_iterable(cut)), np.int64, int(n.sum()))
         own = counts[at]
         before = np.concatenate([[0], np.cumsum(own)])
         return ids[ragged(starts[at], own)], before[np.concatenate([[0], np.cumsum(n)])]
