@@ -3,7 +3,9 @@
 The rows are dealt by a hash of vec_id to blocks of about ``BLOCK`` vectors, the stated queries to
 blocks of about ``QUERIES``; each pair of a query block and a vector block is one bounded group, and
 the best of all groups are merged per query. A query never meets vectors of another length than its
-own; rows that repeat a vec_id count once.
+own; of the usable vectors of a repeated vec_id the shortest counts, of those the least in the order of
+their components. All rows of an id meet in a partial aggregate first, so one that very many rows repeat
+stays small.
 """
 
 from __future__ import annotations
@@ -15,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quirework.llm._common import settled
+
 BLOCK, QUERIES = 8192, 4096
 
 #: (query vectors, vectors, vector ids, k) -> for each query, positions and scores of its best vectors
@@ -32,6 +36,8 @@ def search(vectors: DataFrame, is_query: Column, k: int, best: Search, score: st
     """query_id, rank, vec_id, score: the k best of all vectors for each query, ties to the smaller vec_id."""
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("v"))
     rows = rows.where(F.col("vec_id").isNotNull() & usable(F.col("v"), nonzero))
+    least = F.min(F.struct(F.size("v").alias("size"), "v")).alias("least")
+    rows = settled(rows.groupBy("vec_id").agg(least).select("vec_id", F.col("least.v").alias("v")))
     total, asked = rows.agg(F.count("*"), F.count_if(is_query)).first()
     g, h = max(1, -(-total // BLOCK)), max(1, -(-asked // QUERIES))
     spread = lambda n, salt: F.pmod(F.xxhash64("vec_id", F.lit(salt)), F.lit(n)).cast("int")
@@ -51,8 +57,8 @@ def search(vectors: DataFrame, is_query: Column, k: int, best: Search, score: st
         for d in np.unique(lengths[asked]):
             part = []
             for mask in (asked & (lengths == d), ~asked & (lengths == d)):
-                own, first = np.unique(ids[mask], return_index=True)
-                part.append((own, flat[starts[mask][first][:, None] + np.arange(d)]))
+                order = np.argsort(ids[mask])
+                part.append((ids[mask][order], flat[starts[mask][order][:, None] + np.arange(d)]))
             (q_ids, q), (v_ids, v) = part
             if not len(v_ids):
                 continue

@@ -28,6 +28,8 @@ ORDER = 2
 LEAST = 2
 BACKOFF = 0.4
 BATCH_BYTES = 8 << 20
+#: N-grams (each counted once for each batch that has it) in one range of hashes.
+RANGE = 8_000_000
 
 _PACKED = "batch long, ids binary, known binary, sizes binary, vocabulary binary, planes binary, words long"
 
@@ -130,9 +132,11 @@ def _ranges(keys: np.ndarray, parts: int) -> np.ndarray:
     return np.concatenate([[0], np.searchsorted(keys, cuts), [len(keys)]])
 
 
-def totals(packed: DataFrame, order: int) -> DataFrame:
-    """(batch, part, small, big): for each batch and range the totals of its n-grams, sorted by hash."""
-    parts = shuffle_partitions(packed.sparkSession)
+def totals(packed: DataFrame, order: int, words: int) -> DataFrame:
+    """(batch, part, small, big): for each batch and range the totals of its n-grams, sorted by hash.
+
+    There are so many ranges that the n-grams of all ``words`` words fill none beyond ``RANGE`` entries."""
+    parts = max(shuffle_partitions(packed.sparkSession), -(-words * order // RANGE))
 
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -185,7 +189,7 @@ def score(docs: DataFrame, order: int = ORDER, least: int = LEAST, backoff: floa
         return pa.table({"doc_id": pa.array(np.frombuffer(row["ids"], np.int64), mask=~known), "n_words": pa.array(sizes), "log_prob": pa.array(np.bincount(doc, logs, minlength=len(sizes)).astype(float))})
 
     texts = packed.select("batch", "ids", "known", "sizes", "vocabulary", "planes")
-    both = texts.groupBy("batch").cogroup(totals(packed, order).groupBy("batch"))
+    both = texts.groupBy("batch").cogroup(totals(packed, order, n).groupBy("batch"))
     return both.applyInArrow(own, "doc_id long, n_words long, log_prob double")
 
 

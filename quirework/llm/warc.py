@@ -3,12 +3,15 @@
 ``write`` puts one record per page into gzip archives through Spark's own text writer (the record
 separator is WARC's), so that any store Spark reaches will do. ``read`` parses archives by their
 content lengths into one capture per record; each archive is a run sorted by (URL key, timestamp,
-page_id). ``merged`` deals the runs to ranges of that key and merges the k runs of each range with a
-loser tree: the result is globally ordered, and a URL with very many captures spreads over ranges.
+page_id). ``merged`` deals the runs to ranges of that key, so many that a range holds about ``RANGE``
+captures, and merges the k runs of each range with a loser tree: the result is globally ordered, and a URL
+with very many captures spreads over ranges.
 
 Null html is an empty payload; a null url is left out of its record and sorts first; of equal payloads
 the largest page_id is the response (all rows that repeat that id are) and the others revisit it; a null
-page_id is never revisited nor a revisit. An empty table makes archives without records.
+page_id is never revisited nor a revisit. A very long payload makes an archive longer than ``ARCHIVE_BYTES``
+by itself; a worker holds one archive's captures and one record's payload at a time. Extra columns of pages
+are left out. An empty table makes archives without records.
 """
 
 from __future__ import annotations
@@ -25,10 +28,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quirework.llm._common import shared_dir, spooled
+from quirework.llm._common import shared_dir, shuffle_partitions, spooled
 
-#: Records in one archive at most.
-RECORDS = 5000
+#: Payload bytes in one archive, by the mean payload, and records in one at most.
+ARCHIVE_BYTES, RECORDS = 64 << 20, 5000
+#: Captures in one range of the merge.
+RANGE = 100_000
 #: Date of page 0; page n was captured n seconds later where the table has no ``captured``.
 EPOCH = "2024-01-01T00:00:00Z"
 
@@ -69,8 +74,11 @@ def records(pages: DataFrame) -> DataFrame:
     return rows.select(F.concat(header, block).alias("value"))
 
 
-def write(pages: DataFrame, path: str, per_archive: int = RECORDS) -> None:
-    """A folder of .gz archives with one record per page."""
+def write(pages: DataFrame, path: str, per_archive: int | None = None) -> None:
+    """A folder of .gz archives with one record per page; by default each has about ``ARCHIVE_BYTES`` of payload at most."""
+    if per_archive is None:
+        mean = pages.agg(F.avg(F.octet_length(F.coalesce("html", F.lit(""))))).first()[0] or 0
+        per_archive = int(min(RECORDS, max(1, ARCHIVE_BYTES // (mean + 1))))
     records(pages).write.option("lineSep", _BREAK).option("compression", "gzip").option("maxRecordsPerFile", per_archive).text(path)
 
 
@@ -227,7 +235,8 @@ def merged(captures: DataFrame) -> DataFrame:
         rows = list(LoserTree([runs[a] for a in sorted(runs)]))
         yield pd.DataFrame(rows, columns=columns)
 
-    dealt = captures.repartitionByRange("urlkey", "ts", "page_id", "archive", "record_at")
+    ranges = max(shuffle_partitions(captures.sparkSession), -(-captures.count() // RANGE))
+    dealt = captures.repartitionByRange(ranges, "urlkey", "ts", "page_id", "archive", "record_at")
     return dealt.mapInPandas(run, _CAPTURE)
 
 
@@ -235,16 +244,23 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{shared_dir(spark).rstrip('/')}/warc-{uuid.uuid4().hex}"
     write(spark.read.parquet(f"{sf_dir}/pages.parquet"), path)
     captures = spooled(read(spark, path), "captures")
-    return merged(captures).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    return merged(captures).select("urlkey", "ts", "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 OP7_SQL = """
 WITH p AS (SELECT page_id, url, coalesce(html, '') AS html FROM pages),
-d AS (SELECT page_id, url, octet_length(encode(html))::BIGINT AS payload_bytes, sha1(html) AS hex,
-        max(page_id) OVER (PARTITION BY html) AS kept FROM p)
-SELECT page_id, payload_bytes,
+d AS (SELECT page_id, lower(url) AS url, octet_length(encode(html))::BIGINT AS payload_bytes, sha1(html) AS hex,
+        max(page_id) OVER (PARTITION BY html) AS kept FROM p),
+u AS (SELECT *, regexp_extract(url, '^[a-z]+://([^/?#:]*)', 1) AS host, regexp_extract(url, '^[a-z]+://[^/?#]*:([0-9]+)', 1) AS port,
+        regexp_extract(url, '^[a-z]+://[^/?#]*([^?#]*)', 1) AS path, regexp_extract(url, '^[^?#]*[?]([^#]+)', 1) AS query FROM d)
+SELECT CASE WHEN url IS NULL THEN '' ELSE
+    array_to_string(list_reverse(string_split(CASE WHEN host LIKE 'www.%' THEN host[5:] ELSE host END, '.')), ',')
+    || CASE WHEN port IN ('', '80', '443') THEN '' ELSE ':' || port END || ')' || CASE WHEN path = '' THEN '/' ELSE path END
+    || CASE WHEN query = '' THEN '' ELSE '?' || query END END AS urlkey,
+  strftime(TIMESTAMP '2024-01-01' + to_seconds(page_id % 1000000000), '%Y-%m-%dT%H:%M:%SZ') AS ts,
+  page_id, payload_bytes,
   array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((('0x' || substr(hex, 5 * (i // 4) + 1, 5))::BIGINT >> (15 - 5 * (i % 4))) & 31)::INT + 1, 1) FOR i IN range(0, 32)], '') AS payload_digest,
   CASE WHEN page_id < kept THEN 'revisit' ELSE 'response' END AS record_type,
   CASE WHEN page_id < kept THEN kept END AS refers_to
-FROM d
+FROM u
 """

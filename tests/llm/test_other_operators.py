@@ -1,7 +1,6 @@
 """Vectors, quality, personal data, archives and the pipeline."""
 
 import random
-import tempfile
 
 import numpy as np
 import pytest
@@ -61,6 +60,20 @@ def test_nearest(spark, monkeypatch):
     assert first.vec_id == 1  # the same vector
 
 
+def test_repeated_ids_and_huge_components(spark):
+    rows = [(0, [3.0, 1.0]), (0, [2.0, 5.0]), (0, [2.0, 4.0]), (0, [9.0, 9.0, 9.0]), (1, [1e30, -1e30]), (2, [1.0, 0.5]), (3, [1e300, 1e300]), (4, [-0.3, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    whole = {i: [int(np.floor(c * 64)) if abs(c) < 1e308 / 64 else int(c) * 64 for c in v] for i, v in rows if i != 0} | {0: [128, 256]}
+    got = topk.top_k(df, F.col("vec_id") >= 0, 9, 64.0).collect()
+    for q in whole:
+        clip = lambda x: min(max(x, -(2**63)), 2**63 - 1)
+        want = sorted(((-clip(sum(a * b for a, b in zip(whole[q], whole[i], strict=True))), i) for i in whole if i != q))
+        assert [(-r.score, r.vec_id) for r in sorted((r for r in got if r.query_id == q), key=lambda r: r.rank)] == want
+    near = ann.nearest(df, F.col("vec_id") >= 0, 9).collect()
+    assert len(near) == 20 and all(abs(r.score) <= 1 + 1e-12 for r in near)
+    assert next(r.score for r in near if (r.query_id, r.vec_id) == (0, 3)) == pytest.approx(6 / 40**0.5, abs=1e-12)
+
+
 def test_few_and_no_vectors(spark):
     two = spark.createDataFrame([(0, [1.0, 0.0]), (7, [0.5, 0.5])], VECS)
     assert [(r.vec_id, r.rank) for r in ann.nearest(two, F.col("vec_id") % 50 == 0, 5).collect()] == [(7, 1)]
@@ -110,6 +123,15 @@ def test_threshold_is_of_all_labelled_rows(spark):
     assert np.isclose(model.slope, 4.0 / (np.quantile(s, 0.75) - np.quantile(s, 0.25) + 1e-9), rtol=1e-9)
 
 
+def test_equal_scores_and_extra_columns(spark):
+    docs = spark.createDataFrame([(i, "same text here" if i % 2 else "other words again", "x", "y") for i in range(40)], "doc_id long, text string, score string, predicted string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    out = quality.scored(docs, quality.learn(docs, labels)).collect()
+    assert len({r.score for r in out}) == 2 and all(r.predicted == r.doc_id % 2 for r in out)
+    mixed = spark.createDataFrame([(i, i // 2 % 2) for i in range(40)], "doc_id long, quality int")
+    assert {0 <= r.score <= 1 for r in quality.scored(docs, quality.learn(docs, mixed)).collect()} == {True}
+
+
 def test_first_beyond(spark, monkeypatch):
     monkeypatch.setattr(quality, "BINS", 4)
     rng = random.Random(5)
@@ -134,7 +156,7 @@ TEXTS = [
 @pytest.mark.parametrize("few", [1000, -1])
 def test_surrogates(spark, few):
     docs = spark.createDataFrame(list(enumerate(TEXTS)) + [(9, TEXTS[0])], "doc_id long, text string")
-    out = {r.doc_id: r for r in pii.replaced(docs, few=few).collect()}
+    out = {r.doc_id: r for r in pii.replaced(docs, "k", few=few).collect()}
     a = out[0].text
     assert "Schmidt" not in a and "4111" not in a and out[9].text == a
     name = a.split("met")[0].split()[-1]
@@ -172,6 +194,79 @@ def test_clashing_surrogates_are_told_apart(spark, monkeypatch):
     assert len(set(made)) == 150 and not set(made) & real
 
 
+def by_hand(texts, key, attempts):
+    """Every text with its entities replaced one after another, and their number."""
+    out = []
+    for text in texts:
+        said, at, spans = "", 0, pii.find(text)
+        for a, b, kind, form in spans:
+            said += text[at:a] + pii.render(kind, text[a:b], pii.surrogate(key, kind, form, attempts.get((kind, form), 0)))
+            at = b
+        out.append((None if text is None else said + text[at:], len(spans)))
+    return out
+
+
+@pytest.mark.parametrize("few", [1000, -1])
+def test_surrogates_by_hand(spark, few):
+    rng = random.Random(3)
+    pieces = ["Mrs. Anna Li", "Li", "Mr. Li", "192.168.0.%d", "10.1.%d.7", "8.8.4.%d", "mail a%d@b.org", "+1 (632) 555-48%02d", "(632) 555-48%02d", "123-45-67%02d", "token=abcdef%02d", "plain words", "Señora O'Hara-Núñez"]
+    texts = [" ".join(p % rng.randrange(60) if "%" in p else p for p in rng.choices(pieces, k=rng.randrange(9))) + "." for _ in range(80)] + [None, "", "a " * 200_000 + "Mr. Long x@y.org"]
+    docs = spark.createDataFrame([(i % 70, t, "mine") for i, t in enumerate(texts)], "doc_id long, text string, n_entities string")
+    found = pii.entities(docs).collect()
+    attempts = {(r.kind, r.form): r.attempt for r in pii.exceptions(spark.createDataFrame(found, "kind string, form string"), "k").collect()}
+    got = pii.replaced(docs, "k", few=few).collect()
+    assert sorted(((r.doc_id, r.text, r.n_entities) for r in got), key=str) == sorted(((i % 70, t, n) for i, (t, n) in enumerate(by_hand(texts, "k", attempts))), key=str)
+    made = [pii.surrogate("k", r.kind, r.form, attempts.get((r.kind, r.form), 0)) for r in found]
+    assert len(set(zip([r.kind for r in found], made, strict=True))) == len(found) and not set(made) & {r.form for r in found}
+    assert pii.replaced(docs.limit(0), "k", few=few).count() == 0
+
+
+def test_names_are_found_without_their_title():
+    text = "Mrs. Anna Schmidt called. Schmidt said yes; SCHMIDT and Anna left, Schmidtke stayed. Herr McDonald met Mr O'Brien-Smith."
+    words = [text[a:b] for a, b, *_ in pii.find(text)]
+    assert words == ["Anna", "Schmidt", "Schmidt", "SCHMIDT", "Anna", "McDonald", "O'Brien-Smith"]
+    [(text, _)] = by_hand([text], "k", {})
+    assert "Schmidtke" in text and len({w for w in text.replace(";", "").replace(".", "").split() if w.istitle()} & {"Schmidt", "Anna"}) == 0
+    for raw in ("McDonald", "O'Brien-Smith", "Li", "Иванов", "KRAUSE"):
+        new = pii.render("surname", raw, pii.surrogate("k", "surname", raw.casefold()))
+        assert new != raw and [c.isupper() if c.isalpha() else c for c in new] == [c.isupper() if c.isalpha() else c for c in raw]
+
+
+def test_one_number_in_two_spellings_and_address_classes():
+    (a, b, kind, form), (_, _, _, other) = pii.find("+1 (632) 555-4827 or (632) 555-4827")
+    assert form == other and kind == "phone"
+    new = pii.surrogate("k", "phone", form)
+    assert pii.render("phone", "+1 (632) 555-4827", new) == "+1 " + pii.render("phone", "(632) 555-4827", new)
+    for address in ("10.0.0.5", "172.20.1.1", "192.168.1.9", "127.0.0.1", "169.254.3.4", "9.9.9.9"):
+        new = pii.ipaddress.ip_address(pii.surrogate("k", "ip", address))
+        own = [x for x in pii._BLOCKS if pii.ipaddress.ip_address(address) in x]
+        assert [x for x in pii._BLOCKS if new in x] == own
+
+
+def test_patterns_take_time_in_proportion():
+    import time
+
+    for make in (lambda n: "x@ " + "word_" * n, lambda n: "a" * n + "@" + "b." * n, lambda n: "1" * n, lambda n: "Mr. Ab " * n, lambda n: "1.2.3.4 " * n, lambda n: "password" + " " * n):
+        took = []
+        for n in (4_000, 64_000):
+            began = time.process_time()
+            pii.find(make(n))
+            took.append(time.process_time() - began)
+        assert took[1] < 60 * took[0] + 0.3
+
+
+def test_surrogates_need_a_key(spark):
+    docs = spark.createDataFrame([(1, "x@y.org")], "doc_id long, text string")
+    with pytest.raises(ValueError):
+        pii.replaced(docs, "")
+    assert pii.key_of(spark) != pii.key_of(spark)
+    spark.conf.set(pii.KEY_CONF, "mine")
+    try:
+        assert pii.key_of(spark) == "mine"
+    finally:
+        spark.conf.unset(pii.KEY_CONF)
+
+
 # ---------------------------------------------------------------- archives
 def test_loser_tree():
     rng = random.Random(0)
@@ -180,10 +275,11 @@ def test_loser_tree():
         assert [warc.order(r) for r in warc.LoserTree(runs)] == sorted(warc.order(r) for own in runs for r in own)
 
 
-def test_archives(spark):
+def test_archives(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "RANGE", 3)
     rows = [(1, None, None), (2, "http://www.a.org/x?y", ""), (None, "x y", "q\r\n\r\nz"), (4, "http://b:8080", "é中"), (5, "http://b:8080", "é中"), (5, "http://b:8080", "é中"), (6, "http://c/", "long " * 50_000)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("digest", F.lit(1))
-    path = tempfile.mkdtemp() + "/w"
+    path = str(tmp_path / "w")
     warc.write(pages, path, 2)
     got = warc.merged(warc.read(spark, path)).collect()
     assert all(r.sound for r in got) and [warc.order(tuple(r)) for r in got] == sorted(warc.order(tuple(r)) for r in got)
@@ -240,6 +336,41 @@ def test_pipeline_stages(spark, tmp_path):
     assert set(kept["packing"]) == set(kept["personal_data"])
 
 
+def test_stages_by_hand(spark):
+    from tests.llm.test_text_operators import cut_by_hand, linked_by_hand
+
+    rng = random.Random(8)
+    word = lambda: rng.choice("abcdefghijklmnop") + rng.choice("xyz")
+    passage = [f"p{i}" for i in range(55)]
+    rows = []
+    for _ in range(12):
+        base = [word() for _ in range(rng.randint(1, 160))]
+        for _ in range(rng.randint(1, 5)):
+            t = list(base)
+            for _ in range(rng.randint(0, 9)):
+                t[rng.randrange(len(t))] = word()
+            rows.append((len(rows), " ".join(t + passage if rng.random() < 0.3 else t), "r", 0.5))
+    rows += [(900, None, "r", 0.5), (901, "", "r", 0.5), (None, "odd one", "r", 0.5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _row string, score double")
+    group = {d: c for d, _, c in linked_by_hand([r[:2] for r in rows]) if d is not None}
+    kept = corpus_pipeline.keep_one(spark, docs, "")
+    assert kept.columns == docs.columns
+    assert sorted(map(tuple, kept.collect()), key=str) == sorted((r for r in rows if r[0] is None or group[r[0]] == r[0]), key=str)
+    cut = corpus_pipeline.cut_passages(spark, docs, "").collect()
+    want = [(d, t) for d, n, gone, t in cut_by_hand([r[:2] for r in rows], 50) if gone < n or not gone]
+    assert sorted(((r.doc_id, " ".join((r.text or "").split())) for r in cut), key=str) == sorted(want, key=str)
+
+
+def test_stages_of_an_empty_table(spark, tmp_path):
+    docs = spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long")
+    spark.createDataFrame([], "doc_id long, quality int").write.parquet(str(tmp_path / "labels.parquet"))
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, str(tmp_path))
+        assert out.count() == 0 and (name == "packing" or out.columns == docs.columns)
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
 def test_rows_that_share_an_id_are_decided_by_their_texts(spark):
     a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
     rows = [(5, a), (5, b), (7, b + " more"), (6, c), (6, c), (8, c.upper() + " x"), (4, a + " y"), (9, None), (9, None), (9, ""), (9, " "), (None, a), (None, a)]
