@@ -60,7 +60,7 @@ def cut_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def replace_entities(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _retold(pii.replaced(docs), docs.columns)
+    return _retold(pii.replaced(docs, pii.key_of(spark)), docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
