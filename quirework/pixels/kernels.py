@@ -427,3 +427,23 @@ def shrunk(image: np.ndarray, longest: int) -> np.ndarray:
         for x in range(step):
             total += image[y:h:step, x:w:step]
     return (total / (step * step)).astype(image.dtype)
+
+
+def resized(image: np.ndarray, w: int, h: int) -> np.ndarray:
+    """The image at another size: area means by whole steps first where it shrinks, then bilinear."""
+    step = min(image.shape[0] // h, image.shape[1] // w)
+    if step > 1:
+        image = shrunk(image, -(-max(image.shape[:2]) // step))
+    ih, iw = image.shape[:2]
+    parts = []
+    for n, m in ((ih, h), (iw, w)):
+        at = np.clip((np.arange(m) + 0.5) * n / m - 0.5, 0, n - 1)
+        low = np.floor(at).astype(int)
+        parts.append((low, np.minimum(low + 1, n - 1), (at - low).astype(np.float32)))
+    (y0, y1, fy), (x0, x1, fx) = parts
+    more = (1,) * (image.ndim - 2)
+    fy, fx = fy.reshape(-1, 1, *more), fx.reshape(1, -1, *more)
+    v = image.astype(np.float32)
+    rows = v[y0] * (1 - fy) + v[y1] * fy
+    out = rows[:, x0] * (1 - fx) + rows[:, x1] * fx
+    return np.clip(np.round(out), 0, 255).astype(np.uint8) if image.dtype == np.uint8 else out

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from quirework.pixels import kernels as K
 from quirework.pixels import stages as S
 from quirework.plans import heads as H
+from quirework.plans import models as M
 from quirework.plans import pages as P
 from quirework.plans.queries import query
 
@@ -296,3 +297,103 @@ def learned_mask_branches(t):
         return {"page_count": r.page_count, "tight": bool(k % 2 == 0 or crop.shape[1] < 120), "white": bool((crop[:4] == 255).all()), "flattened": bool(flat)}
 
     return _each(t, answer, "page_count string, tight boolean, white boolean, flattened boolean")
+
+
+# ---------------------------------------------------------------- networks behind functions (toy ones here)
+@query(f"""WITH v AS (SELECT k, (40 + 8 * k)::DOUBLE AS v FROM {_N}), x AS (SELECT k, v, v / 255 AS p FROM v)
+SELECT k, round((p - 0.485) / 0.229, 4) AS red, CASE WHEN v > 150 THEN 'two_folios' ELSE 'one_folio' END AS label, round(1 / (1 + exp(-abs(v - 150) / 10)), 4) AS conf, v > 150 AS blank, 2.0 AS aspect, 1.0 AS valley FROM x""")
+def classifier_heads(t):
+    """Images of one brightness: what the network is given, and the label, probability and blank verdict read from its logits."""
+
+    def answer(k):
+        x = np.full((60, 120, 3), 40 + 8 * k, np.uint8)
+        net = lambda batch, *_: np.array([[0.0, (float(batch[0, 0].mean()) * M.STD[0] + M.MEAN[0]) * 25.5 - 15]])
+        head = M.Classifier(net, ("one_folio", "two_folios"), with_priors=True)
+        label, conf = head.predict(x)
+        aspect, valley = M.geometric_priors(x)
+        return {"red": round(float(M.prepared(x, 8)[0, 0, 0, 0]), 4), "label": label, "conf": round(conf, 4), "blank": head.blank(x)[0], "aspect": float(aspect), "valley": round(float(valley), 6)}
+
+    return _each(t, answer, "red double, label string, conf double, blank boolean, aspect double, valley double")
+
+
+@query(f"""SELECT k, ((64 - k) * 64)::BIGINT AS page, round(100.0 * (64 - k) / 64, 6) AS coverage, k::BIGINT AS x0, 0::BIGINT AS y0, 128::BIGINT AS x1, 192::BIGINT AS y1 FROM {_N}""")
+def mask_heads(t):
+    """A network that sees a page from column k on; the old network's mask and box at another size than the image's."""
+
+    def answer(k):
+        x = np.full((64, 64, 3), 20, np.uint8)
+        x[:, k:] = 220
+        sees = lambda batch: (batch[:, :1] * M.STD[0] + M.MEAN[0] - 0.45) * 50
+        mask = M.PageMask(sees, 64)
+        old = M.OldPageMask(lambda batch: np.stack([0.4 - batch[:, 0], batch[:, 0] - 0.4], axis=1), (64, 96))
+        y = np.full((192, 128, 3), 20, np.uint8)
+        y[:, k:] = 220
+        box = old.box(y)
+        # the reduced image holds every second column
+        return {"page": int(mask(x).sum()), "coverage": round(mask.coverage(x), 6)} | _box((k if abs(box[0] - k) <= 1 else box[0], *box[1:]))
+
+    return _each(t, answer, f"page long, coverage double, {_CORNERS}")
+
+
+@query(f"SELECT k, '10;80' AS lefts, 2::BIGINT AS boxes, (30 * 40)::BIGINT AS area FROM {_N}")
+def prompted_segmenter(t):
+    """The two best of three boxes from left to right, and the mask of the first."""
+
+    def answer(k):
+        found = [(80, 5, 110, 45, 0.9), (50, 0, 60, 10, 0.1 + k / 100), (10, 5, 40, 45, 0.8)]
+
+        def prompted(image, box):
+            m = np.zeros(image.shape[:2])
+            m[box[1] : box[3], box[0] : box[2]] = 1
+            return m
+
+        s = M.PromptedSegmenter(lambda image: found, prompted)
+        boxes = s.detect(np.zeros((60, 130, 3), np.uint8), 2)
+        return {"lefts": ";".join(str(b[0]) for b in boxes), "boxes": len(boxes), "area": int(s.masks(np.zeros((60, 130, 3), np.uint8), boxes)[0].sum())}
+
+    return _each(t, answer, "lefts string, boxes long, area long")
+
+
+@query(f"""SELECT k, CASE WHEN k % 2 = 0 THEN 'A;B' ELSE '' END AS labels, CASE WHEN k % 2 = 0 THEN 2 ELSE 1 END::BIGINT AS crops, CASE WHEN k % 2 = 0 THEN (200 + k) // 2 + floor(0.05 * (200 + k)) ELSE 100 END::BIGINT AS width, k % 3 = 0 AS turned FROM {_N}""")
+def baseline_pages(t):
+    """The old method on an open spread that stands upright (even k) and on a sideways page: both are turned first."""
+
+    def answer(k):
+        x = np.zeros((200 + k, 100, 3), np.uint8) if k % 2 == 0 else np.zeros((100, 200 + k, 3), np.uint8)
+        turned: list[int] = []
+
+        def flip(part):
+            turned.append(1)
+            return ("upside_down" if k % 3 == 0 else "right_side", 0.9)
+
+        marked = x.copy()
+        marked[:10] = 200
+        out = M.baseline(marked, lambda i: ("two_folios" if k % 2 == 0 else "one_folio", 0.9), flip, lambda part: (0, 0, part.shape[1], part.shape[0]))
+        plain = M.baseline(marked, lambda i: ("two_folios" if k % 2 == 0 else "one_folio", 0.9), lambda p: ("right_side", 0.9), lambda part: (0, 0, part.shape[1], part.shape[0]))
+        return {"labels": ";".join(label for label, _ in out), "crops": len(out), "width": out[0][1].shape[1], "turned": bool((out[0][1] == np.rot90(plain[0][1], 2)).all() and k % 3 == 0)}
+
+    return _each(t, answer, "labels string, crops long, width long, turned boolean")
+
+
+@query(f"SELECT k, ((25 + 5) * (1 + (2 + k % 4) // 3) + 5)::BIGINT AS height, (3 * 30 + 5)::BIGINT AS width, 100::BIGINT AS first FROM {_N}")
+def montages(t):
+    """Three to six plain images in a grid of three columns."""
+
+    def answer(k):
+        grid = M.montage([np.full((10, 20, 3), 100 + i, np.uint8) for i in range(3 + k % 4)], 3, cell=25, pad=5)
+        return {"height": grid.shape[0], "width": grid.shape[1], "first": int(grid[5 + 12, 5 + 12, 0])}
+
+    return _each(t, answer, "height long, width long, first long")
+
+
+@query(f"SELECT k, true AS same_again, true AS same_shape, true AS binary FROM {_N}")
+def augmentations(t):
+    """Training pairs varied by a seed: the same seed gives the same pair."""
+
+    def answer(k):
+        x, m = np.random.default_rng(k).integers(0, 255, (40, 50, 3), dtype=np.uint8), np.zeros((40, 50), bool)
+        m[10:30, 10:40] = True
+        (a, p), (b, q) = M.augmented(x, m, k), M.augmented(x, m, k)
+        return {"same_again": bool((a == b).all() and (p == q).all()), "same_shape": a.shape == x.shape and p.shape == m.shape, "binary": p.dtype == bool}
+
+    return _each(t, answer, "same_again boolean, same_shape boolean, binary boolean")

@@ -50,7 +50,7 @@ def _sparse(t):
 
 @query(f"SELECT doc_id AS image, source AS volume, length({_SQUEEZED})::INT AS chars, {_WORDS}::INT AS words, length({_SQUEEZED}) <= 120 AS sparse FROM documents")
 def sparse_documents(t):
-    return _sparse(t).orderBy("chars", "volume", "image")
+    return _sparse(t)
 
 
 @query(f"""SELECT source AS volume, count(*) AS pages, count(*) FILTER (length({_SQUEEZED}) <= 120) AS sparse, count(*) FILTER (length({_SQUEEZED}) = 0) AS empty,

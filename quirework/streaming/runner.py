@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.listener import StreamingQueryListener
 
 from quirework.config import Settings
 from quirework.functions import keys
@@ -48,3 +51,24 @@ def start(spark: SparkSession, source: str, out: str, checkpoint: str, per_trigg
 def counters(results: DataFrame) -> DataFrame:
     """processed, folios, review and errors of a results table."""
     return results.agg(F.countDistinct("source_key").alias("processed"), F.count("label").alias("folios"), F.count_if("needs_review").alias("review"), F.countDistinct(F.when(F.col("error").isNotNull(), F.col("source_key"))).alias("errors"))
+
+
+class Progress(StreamingQueryListener):
+    """Says how many rows a stream has taken whenever another ``step`` of them are done, and why it ended."""
+
+    def __init__(self, step: int = 25, say: Callable[[str], None] = print):
+        self.step, self.say, self.rows = step, say, 0
+
+    def onQueryStarted(self, event) -> None:  # noqa: N802
+        self.say(f"started {event.name or event.id}")
+
+    def onQueryProgress(self, event) -> None:  # noqa: N802
+        before, self.rows = self.rows, self.rows + event.progress.numInputRows
+        if self.rows // self.step > before // self.step:
+            self.say(f"{self.rows} images")
+
+    def onQueryIdle(self, event) -> None:  # noqa: N802
+        pass
+
+    def onQueryTerminated(self, event) -> None:  # noqa: N802
+        self.say(f"ended after {self.rows} images" + (f": {event.exception}" if event.exception else ""))
