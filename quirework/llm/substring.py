@@ -6,12 +6,18 @@ the anchor (in different documents) is at least that of the window, and a run of
 shares one. Second pass: the windows whose anchor is estimated repeated, and only those, are grouped
 exactly. A run travels as one row under its anchor with the 64-bit hashes of its windows (the group is
 the pair of both); of the equal windows in one batch only that of the smallest doc_id travels, so a
-passage that very many documents share has one row per batch. The marks come back as bit masks, and
-the covered words are cut out.
-
-Null and empty texts have no words; texts shorter than a window keep all; a row with a null doc_id
-is left as it is and is no source; rows that repeat a doc_id count as one document, each cut for
-itself; an empty table has an empty result.
+passage that very many documents share has one row per batch. Where one anchor still has more than ``HOT``
+rows, they are first thinned in parts of about that many: of equal windows in a part only that of the
+smallest doc_id goes on, each under a key of its own (anchor and window). The marks come back as bit masks, and the covered words are cut out.
+
+A window stands for its words by a 64-bit hash under a 64-bit anchor, both multilinear with weights of
+their own; the words themselves are not compared again. The sketch has a greatest width: past about 30
+million anchors (some 5 GB of text) more windows pass that occur once, in the end all, at 8 bytes each.
+
+Null and empty texts have no words; texts shorter than a window keep all; a very long text is taken whole
+by one task; a row with a null doc_id is left as it is and is no source; rows that repeat a doc_id count as
+one document, each cut for itself; columns named n_words and n_removed are replaced; an empty table has an
+empty result.
 """
 
 from __future__ import annotations
@@ -25,9 +31,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quirework.llm import sketch
-from quirework.llm._common import binary_column, flat_binary, gram_hashes, ragged, slices, text_buffers, word_bounds, word_hashes
+from quirework.llm._common import binary_column, flat_binary, gram_hashes, mix, ragged, settled, slices, small_batches, spooled, text_buffers, word_bounds, word_hashes
 
 WINDOW, GRAM = 50, 8
+#: Rows of one anchor that are settled in one task.
+HOT = 512
 #: Bytes of text whose equal windows are merged before they travel.
 TOGETHER = 16 << 20
 _RUN = "anchor long, doc_id long, text_hash long, start int, windows int, hashes binary, mask long"
@@ -86,6 +94,7 @@ def _masks(marked: np.ndarray, heads: np.ndarray) -> np.ndarray:
 
 def marks(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     """(doc_id, text_hash, start, mask): the windows that are to go, as bits from ``start`` on; only rows with a bit."""
+    small_batches(docs.sparkSession)
     keyed = docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
     size = keyed.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     width = sketch.width_for(size / 7 * 2 / (window - gram + 2))  # about 7 bytes a word, an anchor for each half window
@@ -135,36 +144,66 @@ def marks(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
         if held:
             yield emit(held)
 
-    def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+        """Tables of whole anchors, from batches sorted by anchor."""
         rest: list[pa.RecordBatch] = []
-
-        def close(table: pa.Table) -> pa.RecordBatch:
-            windows = table.column("windows").to_numpy()
-            flat, bounds = flat_binary(table.column("hashes"), np.uint64)
-            asked = np.diff(bounds)
-            mask = table.column("mask").to_numpy().copy()
-            live = np.flatnonzero(asked > 0)
-            if len(live):
-                gone = _later(np.repeat(table.column("anchor").to_numpy()[live], windows[live]), flat, np.repeat(table.column("doc_id").to_numpy()[live], windows[live]))
-                mask[live] |= _masks(gone, bounds[live])
-            keep = np.flatnonzero(mask)
-            return pa.RecordBatch.from_arrays([pa.array(table.column(c).to_numpy()[keep], k) for c, k in (("doc_id", pa.int64()), ("text_hash", pa.int64()), ("start", pa.int32()))] + [pa.array(mask[keep])], ["doc_id", "text_hash", "start", "mask"])
-
-        for batch in batches:  # sorted by anchor: all that stands before the last one is complete
+        for batch in batches:
             rest.append(batch)
-            if sum(b.num_rows for b in rest) < 20_000:
+            last = batch.column("anchor")[-1].as_py()
+            if sum(b.num_rows for b in rest) < 20_000 or last == rest[0].column("anchor")[0].as_py():
                 continue
             table = pa.Table.from_batches(rest).combine_chunks()
-            anchor = table.column("anchor").to_numpy()
-            end = int(np.searchsorted(anchor, anchor[-1]))
-            if end:
-                yield close(table.slice(0, end).combine_chunks())
-                rest = table.slice(end).combine_chunks().to_batches()
+            end = int(np.searchsorted(table.column("anchor").to_numpy(), last))
+            yield table.slice(0, end).combine_chunks()
+            rest = table.slice(end).combine_chunks().to_batches()
         if rest:
-            yield close(pa.Table.from_batches(rest).combine_chunks())
+            yield pa.Table.from_batches(rest).combine_chunks()
+
+    def judged(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The masks with the windows that another row of the table sends away, and the hashes with their bounds."""
+        windows = table.column("windows").to_numpy()
+        flat, bounds = flat_binary(table.column("hashes"), np.uint64)
+        mask = table.column("mask").to_numpy().copy()
+        live = np.flatnonzero(np.diff(bounds) > 0)
+        if len(live):
+            gone = _later(np.repeat(table.column("anchor").to_numpy()[live], windows[live]), flat, np.repeat(table.column("doc_id").to_numpy()[live], windows[live]))
+            mask[live] |= _masks(gone, bounds[live])
+        return mask, flat, bounds
+
+    def thin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Each row's marks so far, which ask for nothing more, and every window that is left by itself under a key of its own."""
+        for table in grouped(batches):
+            mask, flat, bounds = judged(table)
+            doc, start = table.column("doc_id").to_numpy(), table.column("start").to_numpy()
+            row = np.repeat(np.arange(len(doc)), np.diff(bounds))
+            place = np.arange(len(flat)) - bounds[:-1][row]
+            left = np.flatnonzero((mask[row] >> place & 1) == 0)
+            said = np.flatnonzero(mask != 0)
+            at = np.concatenate([said, row[left]])
+            own = mix(flat[left] ^ table.column("anchor").to_numpy()[row[left]].view(np.uint64))
+            key = np.concatenate([mix(doc[said].view(np.uint64)), own]).view(np.int64)
+            one = np.r_[np.zeros(len(said), np.int64), np.ones(len(left), np.int64)]
+            yield pa.RecordBatch.from_arrays([
+                pa.array(key), pa.array(doc[at]), pa.array(table.column("text_hash").to_numpy()[at]),
+                pa.array(np.concatenate([start[said], start[row[left]] + place[left]]), pa.int32()), pa.array(np.concatenate([table.column("windows").to_numpy()[said], np.ones(len(left))]), pa.int32()),
+                binary_column(flat[left], np.r_[0, np.cumsum(one)]), pa.array(np.concatenate([mask[said], np.zeros(len(left), np.int64)])),
+            ], _COLUMNS)
 
-    dealt = keyed.mapInArrow(candidates, _RUN).repartition("anchor").sortWithinPartitions("anchor")
-    return dealt.mapInArrow(exact, "doc_id long, text_hash long, start int, mask long")
+    def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in grouped(batches):
+            mask, _, _ = judged(table)
+            keep = np.flatnonzero(mask)
+            yield pa.RecordBatch.from_arrays([pa.array(table.column(c).to_numpy()[keep], k) for c, k in (("doc_id", pa.int64()), ("text_hash", pa.int64()), ("start", pa.int32()))] + [pa.array(mask[keep])], ["doc_id", "text_hash", "start", "mask"])
+
+    sent = spooled(keyed.mapInArrow(candidates, _RUN), "runs")
+    # of so few anchors that they can be broadcast, whatever the size of the table
+    least = max(HOT, sent.count() >> 20)
+    hot = settled(sent.groupBy("anchor").count().where(F.col("count") > least))
+    if not hot.isEmpty():
+        part = F.pmod(F.xxhash64("doc_id", "start"), F.ceil(F.col("count") / least))
+        parts = sent.join(F.broadcast(hot), "anchor").repartition("anchor", part).sortWithinPartitions("anchor").select(*_COLUMNS)
+        sent = sent.join(F.broadcast(hot), "anchor", "left_anti").select(*_COLUMNS).unionByName(parts.mapInArrow(thin, _RUN))
+    return sent.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(exact, "doc_id long, text_hash long, start int, mask long")
 
 
 def covered(n: int, found: list, window: int) -> np.ndarray:
