@@ -8,15 +8,16 @@ from pyspark.sql import functions as F
 
 def squeezed(text: Column) -> Column:
     """Without white space at the ends, and runs of it as one space."""
-    return F.regexp_replace(F.regexp_replace(F.coalesce(text, F.lit("")), r"^\s+|\s+$", ""), r"\s+", " ")
+    return F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), r"\s+", " "))
 
 
 def char_count(text: Column) -> Column:
+    """Characters of the squeezed text: those that are no white space, and one for each gap between words."""
     return F.length(squeezed(text))
 
 
 def word_count(text: Column) -> Column:
-    return F.size(F.filter(F.split(squeezed(text), " "), lambda w: w != ""))
+    return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(r"\S+"))
 
 
 def lenient_records(text: Column, schema: str) -> Column:

@@ -57,10 +57,52 @@ def volume_qa(crops: DataFrame, volume: str, source: Column, label: Column, aspe
     )
 
 
+#: Bins of a histogram that the driver reads, and values that it sorts itself.
+BINS, FEW = 4096, 10_000
+
+
+def order_statistics(rows: DataFrame, value: str, ranks: list[int]) -> dict[int, float]:
+    """The values at the given ranks (from 0) of a column without nulls, exactly and without sorting it.
+
+    A histogram narrows the rank's range down until the values left in it are few or all the same."""
+    out: dict[int, float] = {}
+    v = F.col(value).cast("double")
+    low, high, n = rows.agg(F.min(v), F.max(v), F.count("*")).first()
+    left = [(low, high, 0, n, sorted(set(ranks)))] if n else []
+    while left:
+        low, high, below, n, wanted = left.pop()
+        if low == high:
+            out |= dict.fromkeys(wanted, low)
+            continue
+        inside = rows.where(v.between(low, high))
+        if n <= FEW:
+            found = sorted(r[0] for r in inside.select(v).collect())
+            out |= {r: found[r - below] for r in wanted}
+            continue
+        place = F.least(F.floor((v - low) / (high - low) * BINS), F.lit(BINS - 1))
+        for b in inside.groupBy(place.alias("b")).agg(F.min(v).alias("low"), F.max(v).alias("high"), F.count("*").alias("n")).orderBy("b").collect():
+            if own := [r for r in wanted if below <= r < below + b["n"]]:
+                left.append((b["low"], b["high"], below, b["n"], own))
+            below += b["n"]
+    return out
+
+
+def percentiles(rows: DataFrame, value: str, shares: list[float]) -> list[float | None]:
+    """Percentiles of a column, between two values in proportion; nulls do not count."""
+    rows = rows.where(F.col(value).isNotNull())
+    n = rows.count()
+    places = [share * (n - 1) for share in shares]
+    at = order_statistics(rows, value, [int(p) + k for p in places for k in (0, 1) if n and int(p) + k < n])
+    return [None if not n else at[int(p)] + (at.get(int(p) + 1, at[int(p)]) - at[int(p)]) * (p - int(p)) for p in places]
+
+
 def threshold_counts(rows: DataFrame, value: str, thresholds: list[float], group: list[str] | None = None) -> DataFrame:
-    """How many values reach each threshold, with the median, the 90th and 99th percentile and the greatest value."""
-    group = group or []
-    base = rows.groupBy(*group).agg(F.percentile(value, F.array(F.lit(0.5), F.lit(0.9), F.lit(0.99))).alias("p"), F.max(value).alias("greatest"), *[F.count_if(F.col(value) >= t).alias(f"_{i}") for i, t in enumerate(thresholds)])
+    """How many values reach each threshold, with the median, the 90th and 99th percentile and the greatest value.
+
+    A group's values are those of one volume; the percentiles of all rows come from histograms."""
+    group, shares = group or [], [0.5, 0.9, 0.99]
+    p = F.percentile(value, F.array(*map(F.lit, shares))) if group else F.array(*(F.lit(x).cast("double") for x in percentiles(rows, value, shares)))
+    base = rows.groupBy(*group).agg(p.alias("p"), F.max(value).alias("greatest"), *[F.count_if(F.col(value) >= t).alias(f"_{i}") for i, t in enumerate(thresholds)])
     each = F.explode(F.array(*[F.struct(F.lit(t).alias("threshold"), F.col(f"_{i}").alias("reaching")) for i, t in enumerate(thresholds)])).alias("e")
     return base.select(*group, F.col("p")[0].alias("median"), F.col("p")[1].alias("p90"), F.col("p")[2].alias("p99"), "greatest", each).select(*group, "median", "p90", "p99", "greatest", "e.threshold", "e.reaching")
 
@@ -79,7 +121,8 @@ def accuracy(pairs: DataFrame, truth: Column, predicted: Column, *group: str) ->
 
 def latency(times: DataFrame, seconds: str, images: int, workers: list[int]) -> DataFrame:
     """Mean, median, least and greatest time of an image, throughput, and the hours that so many images take with so many workers."""
-    base = times.agg(F.avg(seconds).alias("mean_s"), F.median(seconds).alias("median_s"), F.min(seconds).alias("min_s"), F.max(seconds).alias("max_s"))
+    middle = percentiles(times, seconds, [0.5])[0]
+    base = times.agg(F.avg(seconds).alias("mean_s"), F.lit(middle).cast("double").alias("median_s"), F.min(seconds).alias("min_s"), F.max(seconds).alias("max_s"))
     out = base.withColumn("workers", F.explode(F.array(*map(F.lit, workers))))
     return out.withColumn("per_second", F.try_divide(F.col("workers"), F.col("mean_s"))).withColumn("hours", F.col("mean_s") * images / F.col("workers") / 3600)
 
