@@ -2,10 +2,6 @@
 
 from __future__ import annotations
 
-import atexit
-import re
-import shutil
-import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -13,31 +9,27 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+from quirework.sources import scratch
+
 #: Bytes of text that a Python worker takes at a time (one longer text is still taken whole).
 SLICE_BYTES = 2 << 20
 
 
 # ---------------------------------------------------------------- durable tables
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that ``spark.checkpoint.dir`` names. Where it is unset, a local master has one of its own; a cluster,
-    whose machines do not share a temporary folder, raises."""
-    known = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not known:
-        if not re.match(r"local(\[[^-]*\])?$", spark.sparkContext.master):
-            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-        known = tempfile.mkdtemp(prefix="quirework-")
-        atexit.register(shutil.rmtree, known, ignore_errors=True)
+    """The folder that ``spark.checkpoint.dir`` names, and for checkpoints too (see :mod:`quirework.sources.scratch`)."""
+    known = scratch.base(spark)
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(known)
     return known
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Bounds the Arrow batches of this session: text tables have long rows, and a batch is whole in the JVM and in Python."""
-    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", 2000), ("spark.sql.execution.arrow.maxBytesPerBatch", 8 << 20)):
-        now = spark.conf.get(key, None)
-        if not (now and now.isdigit() and 0 < int(now) <= most):
-            spark.conf.set(key, str(most))
+def small_batches(spark: SparkSession, most: int = 8 << 20) -> None:
+    """Bounds the bytes of this session's Arrow batches: texts can be long, and a batch stands whole in the JVM and in Python."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark.conf.get(key, None)
+    if not (now and now.isdigit() and 0 < int(now) <= most):
+        spark.conf.set(key, str(most))
 
 
 def settled(df: DataFrame) -> DataFrame:
@@ -52,8 +44,9 @@ def spooled(df: DataFrame, name: str) -> DataFrame:
     Unlike a checkpoint it is compressed and carries no partitioning, so that a later join
     exchanges both sides and AQE can split a skewed one."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/spool-{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/spool-{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
+    scratch.until_exit(spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
 

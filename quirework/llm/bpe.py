@@ -6,7 +6,8 @@ binary search over sorted pair keys, and one round merges it in all words at onc
 come from a bounded table.
 
 Null and empty texts have no tokens; the markers of the vocabulary's added tokens in a text become
-those tokens, as the tokenizers library has it; repeated rows and other columns are no matter.
+those tokens, as the tokenizers library has it; a very long text is encoded as a whole; repeated rows are
+encoded each; columns named ids and decoded are replaced, others stay; an empty table has an empty result.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
-from quirework.llm._common import ragged, slices
+from quirework.llm._common import ragged, slices, small_batches
 
 #: Words kept between batches; the table is emptied when it is full.
 KNOWN_WORDS = 250_000
@@ -183,6 +184,7 @@ def load_spec(path: str) -> str:
 def encode(docs: DataFrame, vocabulary: str, text: str = "text") -> DataFrame:
     """``docs`` with the columns ``ids`` (array of int) and ``decoded`` (string), which replace columns of those names."""
     docs = docs.drop("ids", "decoded")
+    small_batches(docs.sparkSession)
     spec = docs.sparkSession.sparkContext.broadcast(load_spec(vocabulary))  # a vocabulary file: a few MB
     schema = docs.schema.simpleString()[len("struct<") : -1]
 
@@ -215,6 +217,7 @@ def decode(rows: DataFrame, vocabulary: str, ids: str = "ids") -> DataFrame:
 
 def digests(docs: DataFrame, vocabulary: str) -> DataFrame:
     """doc_id, n_tokens and the SHA-256 of the ids (decimal, joined by a space) and of the decoded text."""
+    small_batches(docs.sparkSession)
     spec = docs.sparkSession.sparkContext.broadcast(load_spec(vocabulary))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quirework.llm import sketch
-from quirework.llm._common import binary_column, flat_binary, gram_hashes, mix, ragged, settled, short_hashes, shuffle_partitions, slices, spooled, text_buffers, word_hashes
+from quirework.llm._common import binary_column, flat_binary, gram_hashes, mix, ragged, settled, short_hashes, shuffle_partitions, slices, small_batches, spooled, text_buffers, word_hashes
 from quirework.llm.components import components
 
 SHINGLE = 5
@@ -643,6 +643,7 @@ def _ids(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 def linked(docs: DataFrame, k: int = SHINGLE, named_sets: bool = False) -> DataFrame:
     """doc_id, n_shingles and component_id of every row of ``docs``; with ``named_sets`` also sid and component, which tell sets that share a doc_id apart."""
     spark = docs.sparkSession
+    small_batches(spark)
     table = spooled(members(docs.select("doc_id", "text"), k), "members")
     counted = table.where("n < 0").groupBy(F.col("sid").alias("token")).agg(F.sum("n").alias("n")).orderBy("n", "token").limit(COMMON_KEPT).toArrow()  # a bounded list, for the order alone
     common = spark.sparkContext.broadcast(Common(counted.column("token").to_numpy().view(np.uint64), -counted.column("n").to_numpy()))

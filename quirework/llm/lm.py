@@ -7,7 +7,10 @@ the counts of all rows and sends each row the totals of its own n-grams, in the
 to the row's n-grams they give every word its score, summed per document. A frequent n-gram is one
 entry per row, so no range is hot, and nothing is pruned from the counts.
 
-Null and empty texts have no words and a log probability of 0; repeated rows count as often as they
+The counts include the text that is scored, in which every n-gram is seen: with a backoff at a count of 0 no
+score would ever back off. Here an n-gram that is seen once, in this very place, backs off (``LEAST``).
+
+Null and empty texts have no words and a log probability of 0; a very long text fills a batch of its own; other columns are left out; repeated rows count as often as they
 stand; a null doc_id is carried along; an empty table has an empty result.
 """
 
@@ -21,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quirework.llm._common import mix, shuffle_partitions, slices, spooled, text_buffers, word_hashes
+from quirework.llm._common import mix, shuffle_partitions, slices, small_batches, spooled, text_buffers, word_hashes
 
 ORDER = 2
 #: An n-gram seen less often than this backs off to the next shorter one.
@@ -35,15 +38,16 @@ _PACKED = "batch long, ids binary, known binary, sizes binary, vocabulary binary
 
 
 def _planes(x: np.ndarray) -> bytes:
-    """Three byte planes of indices under 2**24: the high ones are nearly all 0 and compress."""
-    if len(x) and x.max() >= 1 << 24:
-        raise OverflowError("more than 2**24 words in one batch")
-    return b"".join((x >> s).astype(np.uint8).tobytes() for s in (0, 8, 16))
+    """Byte planes of indices, three or (from 2**24 on) four: the high ones are nearly all 0 and compress."""
+    planes = 3 if not len(x) or x.max() < 1 << 24 else 4
+    return b"".join((x >> s).astype(np.uint8).tobytes() for s in range(0, 8 * planes, 8))
 
 
-def _unplanes(b: bytes) -> np.ndarray:
-    p = np.frombuffer(b, np.uint8).reshape(3, -1).astype(np.int64)
-    return p[0] | p[1] << 8 | p[2] << 16
+def _unplanes(b: bytes, n: int) -> np.ndarray:
+    out = np.zeros(n, np.int64)
+    for i, plane in enumerate(np.frombuffer(b, np.uint8).reshape(-1, n) if n else ()):
+        out |= plane.astype(np.int64) << 8 * i
+    return out
 
 
 def _short(counts: np.ndarray) -> tuple[bytes, bytes]:
@@ -119,7 +123,7 @@ def grams(vocabulary: np.ndarray, words: np.ndarray, sizes: np.ndarray, order: i
 
 def _unpack(row: dict, order: int) -> tuple[np.ndarray, list[np.ndarray]]:
     sizes = np.frombuffer(row["sizes"], np.int32).astype(np.int64)
-    return sizes, grams(np.frombuffer(row["vocabulary"], np.uint64), _unplanes(row["planes"]), sizes, order)
+    return sizes, grams(np.frombuffer(row["vocabulary"], np.uint64), _unplanes(row["planes"], int(sizes.sum())), sizes, order)
 
 
 def _base(part: int, parts: int) -> int:
@@ -167,6 +171,7 @@ def totals(packed: DataFrame, order: int, words: int) -> DataFrame:
 
 def score(docs: DataFrame, order: int = ORDER, least: int = LEAST, backoff: float = BACKOFF) -> DataFrame:
     """doc_id, n_words, log_prob: the sum over a document's words of the log of their stupid-backoff scores."""
+    small_batches(docs.sparkSession)
     packed = spooled(pack(docs), "packed")
     n = packed.agg(F.sum("words")).first()[0] or 0
 

@@ -8,7 +8,8 @@ take their slots by joining on their rank within their length. Ranks come from c
 hash bucket) and a numbering within each bucket, so that a length held by most rows is still dealt
 over many tasks.
 
-Null and empty texts are one piece (the end token); pieces of one length are interchangeable, so
+Null and empty texts are one piece (the end token); a very long text is encoded as a whole and cut into pieces;
+other columns, whatever their names, are left out; pieces of one length are interchangeable, so
 repeated rows and ties only decide which equal slot each takes; an empty table has an empty result.
 """
 
@@ -24,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quirework.llm._common import settled, shuffle_partitions, slices
+from quirework.llm._common import settled, shuffle_partitions, slices, small_batches
 from quirework.llm.bpe import Encoder, MergeTable, load_spec
 
 CAPACITY, END = 4096, 1
@@ -36,6 +37,7 @@ Slot = tuple[int, int, int, int, int, int]
 
 def pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, end: int = END) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32: every document's ids and the end token, cut at the capacity."""
+    small_batches(docs.sparkSession)
     spec = docs.sparkSession.sparkContext.broadcast(load_spec(vocabulary))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

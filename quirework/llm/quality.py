@@ -7,7 +7,9 @@ population where its share of bad documents lies (a score quantile) is the thres
 through it makes strengths scores. Threshold and slope are quantiles over all labelled documents that are
 not held out, beyond the sample too. Features see the whole text and nothing else.
 
-Null and empty texts are scored like any (their counts are 0); without labels of both kinds every score
+Null and empty texts are scored like any (their counts are 0); a very long text is scored as a whole (a worker
+holds about 30 bytes for each of its words); equal texts have equal scores; columns named score and predicted
+are replaced; an empty table has an empty result; without labels of both kinds every score
 is the share of good labels (0.5 without any); labels that contradict each other for one document count
 as bad; rows with a null doc_id are scored but never held out nor learned from.
 """
@@ -22,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quirework.llm._common import slices, spooled, text_buffers, word_bounds, word_hashes
+from quirework.llm._common import slices, small_batches, spooled, text_buffers, word_bounds, word_hashes
 
 #: Labelled documents learned from, of each label.
 SAMPLE = 10_000
@@ -52,8 +54,12 @@ def features(data: np.ndarray, offs: np.ndarray) -> np.ndarray:
     """One row for each text."""
     docs = len(offs) - 1
     size = np.diff(offs)
-    doc_of_byte = np.repeat(np.arange(docs), size)
-    counts = np.bincount(doc_of_byte * _K + _CLASS[data], minlength=docs * _K).reshape(docs, _K).astype(float)
+    counts = np.zeros((docs, _K))
+    for lo in range(0, len(data), 1 << 20):  # a long text is counted bit by bit
+        own = np.diff(np.clip(offs, lo, lo + (1 << 20)))
+        some = np.flatnonzero(own)
+        at = np.repeat(np.arange(len(some)), own[some]) * _K + _CLASS[data[lo : lo + (1 << 20)]]
+        counts[some] += np.bincount(at, minlength=len(some) * _K).reshape(-1, _K)
     starts, ends, before = word_bounds(data, offs)
     hashes, _ = word_hashes(data, offs)
     words = np.diff(before)
@@ -209,6 +215,7 @@ def placed(model: Model, rows: DataFrame, n_good: int, n_bad: int) -> Model:
 
 def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """A model from the labels that are not held out."""
+    small_batches(docs.sparkSession)
     known = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     known = known.groupBy("doc_id").agg(F.min("quality").cast("int").alias("good"))
     n = {r["good"]: r["n"] for r in known.groupBy("good").agg(F.count("*").alias("n")).collect()}
@@ -228,6 +235,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
 
 def scored(docs: DataFrame, model: Model) -> DataFrame:
     """``docs`` with ``score`` (0 to 1) and ``predicted`` (1 from a score of 0.5), which replace columns of those names."""
+    small_batches(docs.sparkSession)
     docs = docs.drop("score", "predicted")
     schema = docs.schema.simpleString()[len("struct<") : -1]
 

@@ -18,7 +18,6 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import uuid
 import zlib
 from collections.abc import Iterator
 from urllib.parse import urlsplit
@@ -28,7 +27,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quirework.llm._common import shared_dir, shuffle_partitions, spooled
+from quirework.llm._common import shuffle_partitions, spooled
+from quirework.sources import scratch
 
 #: Payload bytes in one archive, by the mean payload, and records in one at most.
 ARCHIVE_BYTES, RECORDS = 64 << 20, 5000
@@ -241,7 +241,7 @@ def merged(captures: DataFrame) -> DataFrame:
 
 
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = f"{shared_dir(spark).rstrip('/')}/warc-{uuid.uuid4().hex}"
+    path = scratch.folder(spark, "warc")
     write(spark.read.parquet(f"{sf_dir}/pages.parquet"), path)
     captures = spooled(read(spark, path), "captures")
     return merged(captures).select("urlkey", "ts", "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")

@@ -272,6 +272,11 @@ def test_backoff_scores(spark):
     assert lm.score(frame(spark, [])).count() == 0
 
 
+def test_planes():
+    for x in (np.array([0, 5, 70_000, (1 << 24) - 1]), np.array([1 << 24, 3]), np.zeros(0, np.int64)):
+        assert (lm._unplanes(lm._planes(x), len(x)) == x).all()
+
+
 def test_gaps():
     rng = np.random.default_rng(0)
     for base in (0, 1 << 60):
