@@ -11,20 +11,23 @@ Parquet and read again:
 * personal_data: entities are replaced by surrogates.
 * packing: the documents as pieces with their places in sequences (the last stage's own columns).
 
-An empty table passes through with no rows. SQL cannot express the stages (ORACLE_SQL is None); their
-tests compare each with a brute-force version.
+An empty table passes through with no rows; null and empty texts are documents like others; a column that a
+stage adds replaces none of the table's own but for that stage's work. What a stage writes is deleted when the
+application ends. SQL cannot express the stages (ORACLE_SQL is None): in ``tests/llm`` near duplicates and cut
+passages are compared with brute force, surrogates and packing with plain versions of their operators, and
+quality with held-out labels.
 """
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quirework.llm import jaccard, packing, pii, quality, substring
-from quirework.llm._common import settled, shared_dir, spooled
+from quirework.llm._common import settled, spooled
+from quirework.sources import scratch
 
 ORACLE_SQL = None
 
@@ -81,7 +84,7 @@ STAGES: list[tuple[str, Stage]] = [
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rows of the last stage over the documents of ``sf_dir``."""
-    base = f"{shared_dir(spark).rstrip('/')}/pipeline-{uuid.uuid4().hex}"
+    base = scratch.folder(spark, "pipeline")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         stage(spark, docs, sf_dir).write.parquet(f"{base}/{name}")
