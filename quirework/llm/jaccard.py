@@ -678,3 +678,18 @@ def linked(docs: DataFrame, k: int = SHINGLE, named_sets: bool = False) -> DataF
 
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linked(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+OP8_SQL = f"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < {SHINGLE} THEN [array_to_string(w, ' ')]
+  ELSE list_distinct([array_to_string(w[i:i + {SHINGLE - 1}], ' ') FOR i IN range(1, len(w) - {SHINGLE - 2})]) END) AS g FROM d),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS i FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * i >= {PERCENT} * (x.n + y.n - i)),
+e AS (SELECT a, b FROM l UNION SELECT b, a FROM l),
+r AS (SELECT a, b FROM e UNION SELECT r.a, e.b FROM r JOIN e ON e.a = r.b),
+m AS (SELECT a, min(b) AS least FROM r GROUP BY a)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, least(d.doc_id, coalesce(m.least, d.doc_id)) AS component_id
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN m ON m.a = d.doc_id
+"""

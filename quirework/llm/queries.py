@@ -29,5 +29,6 @@ def oracle_sql() -> dict[str, str]:
         "op2_substring": substring.OP2_SQL,
         "op5_lm": lm.OP5_SQL,
         "op7_warc": warc.OP7_SQL,
+        "op8_jaccard": jaccard.OP8_SQL,
         "op9_topk": topk.OP9_SQL,
     }
