@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 
 from quirework.llm import sketch
 from quirework.llm._common import binary_column, flat_binary, gram_hashes, mix, ragged, settled, short_hashes, shuffle_partitions, slices, small_batches, spooled, text_buffers, word_hashes
-from quirework.llm.components import components
+from quirework.llm.components import components, joined
 
 SHINGLE = 5
 #: Two sets link when 100 * intersection >= PERCENT * union.
@@ -666,7 +666,7 @@ def linked(docs: DataFrame, k: int = SHINGLE, named_sets: bool = False) -> DataF
     second = settled(bounded(cross, prefix))
     if not second.isEmpty():
         more = compared(second, whole_sets(docs, k, settled(_ids(second, sets)))).where(_open()).select("a", "b")
-        component = spooled(components(links.select("a", "b").unionByName(more)), "component")
+        component = spooled(joined(component, more), "component")
 
     named = sets.join(component.withColumnRenamed("node", "sid"), "sid", "left").select("sid", "least", F.coalesce("component", "sid").alias("component"))
     least = spooled(named.groupBy("component").agg(F.min("least").alias("component_id")), "ids")

@@ -308,6 +308,10 @@ def test_components(spark):
     got = {r.node: r.component for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {x: find(x) for x in list(up)}
     assert components.components(spark.createDataFrame([], "a long, b long")).count() == 0
+    frame = lambda e: spark.createDataFrame(e, "a long, b long")
+    some = components.components(frame(edges[::2]))
+    got = {r.node: r.component for r in components.joined(some, frame([(a, b) for a, b in edges[1::2] if a != b])).collect()}
+    assert got == {x: find(x) for x in list(up)}
 
 
 def test_pipeline_stages(spark, tmp_path):
