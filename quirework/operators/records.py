@@ -46,6 +46,12 @@ def with_place(crops: DataFrame, coords: DataFrame, originals: DataFrame) -> Dat
     return crops.join(known, "crop").join(originals, "source_key")
 
 
+def upload_targets(urls: DataFrame, files: DataFrame) -> DataFrame:
+    """Each upload address (name, url) with the local file of that base name (source_key); ``unknown`` where there is none."""
+    own = files.select(keys.basename(F.col("source_key")).alias("name"), "source_key")
+    return urls.join(own, "name", "left").withColumn("unknown", F.col("source_key").isNull())
+
+
 def unioned(new: DataFrame, carried: DataFrame) -> DataFrame:
     """New and carried records; what one side lacks is null there."""
     return new.unionByName(carried, allowMissingColumns=True)

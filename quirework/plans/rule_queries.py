@@ -295,6 +295,14 @@ def tile_local_ink(t):
 
 
 # ---------------------------------------------------------------- jobs
+@query(f"""SELECT replace(source_key, '.jpg', '.pdf') AS name, NULL AS source_key, true AS unknown FROM ({_SOURCES}) WHERE page % 5 = 0
+UNION ALL SELECT source_key, 'in/' || source_key, false FROM ({_SOURCES}) WHERE page % 5 <> 0""")
+def upload_targets(t):
+    s = _sources(t)
+    name = F.when(C("page") % 5 == 0, F.regexp_replace("source_key", "jpg$", "pdf")).otherwise(C("source_key"))
+    return records.upload_targets(s.select(name.alias("name"), L("u").alias("url")), s.select(F.concat(L("in/"), "source_key").alias("source_key"))).drop("url")
+
+
 @query("""SELECT o_orderkey, o_orderstatus = 'F' AS override, CASE WHEN o_orderstatus = 'F' THEN 'foliate;metadata;transcribe' ELSE 'transcribe' END AS steps FROM orders""")
 def job_steps(t):
     """The driver makes the two kinds of metadata; the rows take theirs by a map."""
