@@ -381,8 +381,9 @@ def warp(image: np.ndarray, matrix: np.ndarray, w: int, h: int, nearest: bool =
     """The image under a matrix, once, by looking every target pixel up (bicubic); beyond the edge the edge, or ``fill``."""
     back = np.linalg.inv(matrix)
     ih, iw = image.shape[:2]
-    flat = np.ascontiguousarray(image).reshape(ih * iw, *image.shape[2:])
-    out = np.empty((h, w, *image.shape[2:]), image.dtype)
+    # one plane for each channel: numbers are looked up faster than rows of them
+    planes = [np.ascontiguousarray(p).ravel() for p in np.moveaxis(image.reshape(ih, iw, -1), 2, 0)]
+    out = np.empty((h, w, len(planes)), image.dtype)
     x = np.arange(w, dtype=np.float64)
     for top in range(0, h, 64):  # strips stay in the processor's cache
         y = np.arange(top, min(h, top + 64), dtype=np.float64)[:, None]
@@ -392,25 +393,26 @@ def warp(image: np.ndarray, matrix: np.ndarray, w: int, h: int, nearest: bool =
         sx, sy = np.clip(sx, 0, iw - 1), np.clip(sy, 0, ih - 1)
         ix, iy = np.floor(sx).astype(np.int32), np.floor(sy).astype(np.int32)
         fx, fy = (sx - ix).astype(np.float32), (sy - iy).astype(np.float32)
+        strip = out[top : top + len(y)]
         if nearest or not (fx.any() or fy.any()):
-            part = flat[np.round(sy).astype(np.int32) * iw + np.round(sx).astype(np.int32)]
+            at = np.round(sy).astype(np.int32) * iw + np.round(sx).astype(np.int32)
+            for c, plane in enumerate(planes):
+                strip[..., c] = plane.take(at)
         else:
-            if image.ndim == 3:
-                fx, fy = fx[..., None], fy[..., None]
             columns = [np.clip(ix + i, 0, iw - 1) for i in (-1, 0, 1, 2)]
+            sums = [np.zeros((len(y), w), np.float32) for _ in planes]
             wx = _cubic(fx)
-            part = np.zeros((len(y), w, *image.shape[2:]), np.float32)
             for j, wy in zip((-1, 0, 1, 2), _cubic(fy), strict=True):
                 row = np.clip(iy + j, 0, ih - 1) * iw
-                line = wx[0] * flat[row + columns[0]]
-                for i in (1, 2, 3):
-                    line += wx[i] * flat[row + columns[i]]
-                part += wy * line
-            part = np.clip(np.round(part), 0, 255) if image.dtype == np.uint8 else part
+                for wide, column in zip(wx, columns, strict=True):
+                    weight, at = wide * wy, row + column
+                    for total, plane in zip(sums, planes, strict=True):
+                        total += weight * plane.take(at)
+            for c, total in enumerate(sums):
+                strip[..., c] = np.clip(np.round(total), 0, 255) if image.dtype == np.uint8 else total
         if outside is not None:
-            part = np.where(outside if image.ndim == 2 else outside[..., None], fill, part)
-        out[top : top + len(y)] = part
-    return out
+            strip[outside] = fill
+    return out.reshape(h, w, *image.shape[2:])
 
 
 def shrunk(image: np.ndarray, longest: int) -> np.ndarray:
