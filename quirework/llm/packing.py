@@ -35,8 +35,10 @@ PLAN_ROWS = 200_000
 Slot = tuple[int, int, int, int, int, int]
 
 
-def pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, end: int = END) -> DataFrame:
-    """doc_id, piece, start, length, ids_crc32: every document's ids and the end token, cut at the capacity."""
+def pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, end: int = END, hashed: bool = False) -> DataFrame:
+    """doc_id, piece, start, length, ids_crc32: every document's ids and the end token, cut at the capacity.
+
+    With ``hashed`` also text_hash, Spark's xxhash64 of the text: with it a piece finds its text where ids are null or repeated."""
     small_batches(docs.sparkSession)
     spec = docs.sparkSession.sparkContext.broadcast(load_spec(vocabulary))
 
@@ -45,15 +47,17 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, end: int
         for batch in slices(batches, "text"):
             ids, bounds = coder.encode(batch.column("text").to_pylist())
             rows = []
-            for doc, (lo, hi) in zip(batch.column("doc_id").to_pylist(), pairwise(bounds.tolist()), strict=True):
+            for doc, text_hash, (lo, hi) in zip(batch.column("doc_id").to_pylist(), batch.column("text_hash").to_pylist(), pairwise(bounds.tolist()), strict=True):
                 own = np.append(ids[lo:hi], end).astype("<u4")
                 for start in range(0, len(own), capacity):
                     part = own[start : start + capacity]
-                    rows.append((doc, start // capacity, start, len(part), zlib.crc32(part.tobytes())))
+                    rows.append((doc, start // capacity, start, len(part), zlib.crc32(part.tobytes()), text_hash))
             cols = list(zip(*rows, strict=True))
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int32() if i == 1 else pa.int64()) for i, c in enumerate(cols)], ["doc_id", "piece", "start", "length", "ids_crc32"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int32() if i == 1 else pa.int64()) for i, c in enumerate(cols)], ["doc_id", "piece", "start", "length", "ids_crc32", "text_hash"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, piece int, start long, length long, ids_crc32 long")
+    key = F.xxhash64("text") if hashed else F.lit(None).cast("long")
+    out = docs.select("doc_id", "text", key.alias("text_hash")).mapInArrow(run, "doc_id long, piece int, start long, length long, ids_crc32 long, text_hash long")
+    return out if hashed else out.drop("text_hash")
 
 
 def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[Slot]:
@@ -119,8 +123,8 @@ def pack(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     return placed.select(*cut.columns, (F.col("p_first") + F.floor(at / F.col("p_each"))).cast("long").alias("sequence_id"), (F.col("p_offset") + at % F.col("p_each") * F.col("length")).alias("offset"))
 
 
-def packed(docs: DataFrame, vocabulary: str) -> DataFrame:
-    return pack(settled(pieces(docs, vocabulary)))
+def packed(docs: DataFrame, vocabulary: str, hashed: bool = False) -> DataFrame:
+    return pack(settled(pieces(docs, vocabulary, hashed=hashed)))
 
 
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -338,6 +338,8 @@ def test_pipeline_stages(spark, tmp_path):
     assert "555-4827" not in " ".join(r.text or "" for r in kept["personal_data"].values())
     assert kept["personal_data"][21].n_chars == len(kept["personal_data"][21].text)
     assert set(kept["packing"]) == set(kept["personal_data"])
+    hashes = {r.h for r in spark.read.parquet(str(tmp_path / "personal_data")).select(F.xxhash64("text").alias("h")).collect()}
+    assert {r.text_hash for r in kept["packing"].values()} == hashes
 
 
 def test_stages_by_hand(spark):
