@@ -9,7 +9,8 @@ Parquet and read again:
   or equal; rows without doc_id stay.
 * substrings: passages that an earlier document holds are cut out; a document that loses every word goes.
 * personal_data: entities are replaced by surrogates.
-* packing: the documents as pieces with their places in sequences (the last stage's own columns).
+* packing: the documents as pieces with their places in sequences (the last stage's own columns); text_hash,
+  Spark's xxhash64 of the text that the stage before left, finds a piece's text also where doc_id is null.
 
 An empty table passes through with no rows; null and empty texts are documents like others; a column that a
 stage adds replaces none of the table's own but for that stage's work. What a stage writes is deleted when the
@@ -69,7 +70,7 @@ def replace_entities(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    return packing.packed(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return packing.packed(docs, public_tokenizers.path("word_bpe_49k.json"), hashed=True)
 
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
