@@ -29,7 +29,7 @@ THRESHOLD = 0.6
 #: First half-width of the windows (in standard deviations of a projection) and its growth per round.
 FIRST, GROWTH = 0.9, 1.3
 #: A query stops when so many vectors passed: so many times k, or this share of a block if that is more.
-TIMES, SHARE = 12, 0.25
+TIMES, SHARE = 45, 0.25
 
 
 def _even(x: np.ndarray) -> np.ndarray:
