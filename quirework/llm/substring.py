@@ -9,6 +9,8 @@ the pair of both); of the equal windows in one batch only that of the smallest d
 passage that very many documents share has one row per batch. Where one anchor still has more than ``HOT``
 rows, they are first thinned in parts of about that many: of equal windows in a part only that of the
 smallest doc_id goes on, each under a key of its own (anchor and window). The marks come back as bit masks, and the covered words are cut out.
+A Python worker holds a bounded number of windows at a time, however many of them repeat (one slice of text,
+or the rows of one key, are still taken whole).
 
 A window stands for its words by a 64-bit hash under a 64-bit anchor, both multilinear with weights of
 their own; the words themselves are not compared again. The sketch has a greatest width: past about 30
@@ -38,6 +40,10 @@ WINDOW, GRAM = 50, 8
 HOT = 512
 #: Bytes of text whose equal windows are merged before they travel.
 TOGETHER = 16 << 20
+#: Windows of such text that a worker holds at most, and windows of whole anchors that it settles at a time.
+HELD, SETTLED = 1 << 20, 1 << 18
+#: Files of the table of hot anchors, which is small.
+HOT_FILES = 8
 _RUN = "anchor long, doc_id long, text_hash long, start int, windows int, hashes binary, mask long"
 _COLUMNS = [c.split(" ")[0] for c in _RUN.split(", ")]
 
@@ -115,47 +121,55 @@ def marks(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     maps = keyed.sparkSession.sparkContext.broadcast(sketch.repeated(keyed.select("doc_id", "text"), anchors, width, cut))
 
     def emit(held: list[tuple]) -> pa.RecordBatch:
-        doc, text_hash, start, anchor, whole = (np.concatenate([h[i] for h in held]) for i in range(5))
-        gone = _later(anchor, whole, doc)
-        serial = np.concatenate([np.full(len(h[0]), i, np.int64) for i, h in enumerate(held)])
-        text = np.concatenate([h[5] for h in held]) + (serial << 32)
+        first = np.cumsum([0] + [len(h[0]) for h in held])
+        docs_of, hashes_of, start, anchor, whole = (np.concatenate([h[i] for h in held]) for i in (0, 1, 3, 4, 5))
+        text = np.concatenate([h[2] + f for h, f in zip(held, first, strict=False)])
+        held.clear()
+        gone = _later(anchor, whole, docs_of[text])
         heads = _runs(text, start, anchor)
-        bounds = np.r_[heads, len(doc)]
+        bounds = np.r_[heads, len(text)]
+        doc, text_hash = docs_of[text[heads]], hashes_of[text[heads]]
         mask = _masks(gone, heads)
         settled = np.array([], bool) if not len(heads) else np.logical_and.reduceat(gone, heads)
         # runs whose windows have all gone have nothing left to ask; they go anywhere
         size = np.where(settled, 0, np.diff(bounds))
         hashes = whole[ragged(heads, size)]
-        key = np.where(settled, (doc[heads] * 0x9E3779B1).astype(np.uint64), anchor[heads]).view(np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(key), pa.array(doc[heads]), pa.array(text_hash[heads]), pa.array(start[heads], pa.int32()), pa.array(np.diff(bounds), pa.int32()), binary_column(hashes, np.r_[0, np.cumsum(size)]), pa.array(mask)], _COLUMNS)
+        key = np.where(settled, (doc * 0x9E3779B1).astype(np.uint64), anchor[heads]).view(np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(key), pa.array(doc), pa.array(text_hash), pa.array(start[heads], pa.int32()), pa.array(np.diff(bounds), pa.int32()), binary_column(hashes, np.r_[0, np.cumsum(size)]), pa.array(mask)], _COLUMNS)
 
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
+        held, size, windows = [], 0, 0
         for batch in slices(batches, "text"):
             data, offs = text_buffers(batch.column(2))
             text, start, anchor, whole, _ = anchored(data, offs, window, gram)
             keep = sketch.passes(anchor, maps.value, width)
-            text = text[keep]
-            held.append((batch.column(0).to_numpy()[text], batch.column(1).to_numpy()[text], start[keep], anchor[keep], whole[keep], text))
+            # copies: a view would keep the whole batch with its texts
+            held.append((batch.column(0).to_numpy().copy(), batch.column(1).to_numpy().copy(), text[keep], start[keep].astype(np.int32), anchor[keep], whole[keep]))
             size += len(data)
-            if size >= TOGETHER:
+            windows += int(keep.sum())
+            if size >= TOGETHER or windows >= HELD:
                 yield emit(held)
-                held, size = [], 0
+                held, size, windows = [], 0, 0
         if held:
             yield emit(held)
 
     def grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         """Tables of whole anchors, from batches sorted by anchor."""
         rest: list[pa.RecordBatch] = []
-        for batch in batches:
+        rows = windows = 0
+        step = max(1, SETTLED // 256)  # a run has 63 windows at most
+        for batch in (b.slice(at, step) for b in batches for at in range(0, b.num_rows, step)):
             rest.append(batch)
+            rows += batch.num_rows
+            windows += int(batch.column("windows").to_numpy().sum())
             last = batch.column("anchor")[-1].as_py()
-            if sum(b.num_rows for b in rest) < 20_000 or last == rest[0].column("anchor")[0].as_py():
+            if (rows < 20_000 and windows < SETTLED) or last == rest[0].column("anchor")[0].as_py():
                 continue
             table = pa.Table.from_batches(rest).combine_chunks()
             end = int(np.searchsorted(table.column("anchor").to_numpy(), last))
             yield table.slice(0, end).combine_chunks()
-            rest = table.slice(end).combine_chunks().to_batches()
+            table = table.slice(end).combine_chunks()
+            rest, rows, windows = table.to_batches(), table.num_rows, int(table.column("windows").to_numpy().sum())
         if rest:
             yield pa.Table.from_batches(rest).combine_chunks()
 
@@ -198,7 +212,7 @@ def marks(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     sent = spooled(keyed.mapInArrow(candidates, _RUN), "runs")
     # of so few anchors that they can be broadcast, whatever the size of the table
     least = max(HOT, sent.count() >> 20)
-    hot = settled(sent.groupBy("anchor").count().where(F.col("count") > least))
+    hot = settled(sent.groupBy("anchor").count().where(F.col("count") > least).repartition(HOT_FILES))
     if not hot.isEmpty():
         part = F.pmod(F.xxhash64("doc_id", "start"), F.ceil(F.col("count") / least))
         parts = sent.join(F.broadcast(hot), "anchor").repartition("anchor", part).sortWithinPartitions("anchor").select(*_COLUMNS)

@@ -133,6 +133,57 @@ def test_substrings(spark, monkeypatch, seed):
     assert substring.digests(frame(spark, []), win).count() == 0
 
 
+@pytest.fixture
+def conf(spark):
+    """Sets a setting of the session for one test."""
+    before = {}
+
+    def put(key, value):
+        before.setdefault(key, spark.conf.get(key))
+        spark.conf.set(key, value)
+
+    yield put
+    for key, value in before.items():
+        spark.conf.set(key, value)
+
+
+def test_a_worker_holds_a_bounded_number_of_windows(spark, monkeypatch, conf):
+    rng, later = random.Random(7), substring._later
+    texts = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(2000)) for _ in range(30)]
+
+    def counted(anchor, whole, doc):
+        assert len(anchor) <= 10_000
+        return later(anchor, whole, doc)
+
+    monkeypatch.setattr(substring, "_later", counted)
+    monkeypatch.setattr(substring, "HELD", 5000, raising=False)
+    monkeypatch.setattr(substring, "SETTLED", 2000, raising=False)
+    conf("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
+    got = substring.digests(frame(spark, [(i, texts[i % 30]) for i in range(60)]).coalesce(1)).collect()
+    assert {r.doc_id: r.n_removed for r in got} == {i: 0 if i < 30 else 2000 for i in range(60)}
+
+
+def test_hot_anchors_stand_in_few_files(spark, monkeypatch, conf):
+    rng, win, parts, settled = random.Random(8), 6, [], substring.settled
+
+    def counted(df):
+        out = settled(df)
+        parts.append((out.rdd.getNumPartitions(), out.count()))
+        return out
+
+    docs = [(i, " ".join([*(rng.choice("abcd") for _ in range(5)), *"xyzxyz", *(rng.choice("abcd") for _ in range(5))])) for i in range(40)]
+    whole = substring.marks
+    monkeypatch.setattr(substring, "marks", lambda d, w=win: whole(d, w, 3))
+    monkeypatch.setattr(substring, "settled", counted)
+    for name, value in (("TOGETHER", 200), ("HOT", 2), ("HELD", 50), ("SETTLED", 20)):
+        monkeypatch.setattr(substring, name, value, raising=False)
+    conf("spark.sql.shuffle.partitions", "32")
+    conf("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    got = substring.digests(frame(spark, docs), win).collect()
+    assert sorted((str(r.doc_id), r.n_removed, r.kept_sha256) for r in got) == sorted((str(d), m, hashlib.sha256(t.encode()).hexdigest()) for d, _, m, t in cut_by_hand(docs, win))
+    assert parts and all(n <= 8 and rows > 0 for n, rows in parts)
+
+
 def test_kept_text_keeps_its_white_space(spark):
     words = [f"w{i}" for i in range(60)]
     docs = [(1, " ".join(words)), (2, "begin\n\nhere  " + " ".join(words) + "\nand end "), (3, "x " * 10)]
