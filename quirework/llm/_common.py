@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from quirework.sources import scratch
+from quirework.sources.batches import small_batches  # noqa: F401
 
 #: Bytes of text that a Python worker takes at a time (one longer text is still taken whole).
 SLICE_BYTES = 2 << 20
@@ -24,14 +25,6 @@ def shared_dir(spark: SparkSession) -> str:
     return known
 
 
-def small_batches(spark: SparkSession, most: int = 8 << 20) -> None:
-    """Bounds the bytes of this session's Arrow batches: texts can be long, and a batch stands whole in the JVM and in Python."""
-    key = "spark.sql.execution.arrow.maxBytesPerBatch"
-    now = spark.conf.get(key, None)
-    if not (now and now.isdigit() and 0 < int(now) <= most):
-        spark.conf.set(key, str(most))
-
-
 def settled(df: DataFrame) -> DataFrame:
     """``df`` with its lineage cut by a checkpoint in the shared folder."""
     shared_dir(df.sparkSession)

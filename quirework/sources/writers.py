@@ -97,11 +97,9 @@ def on_canvases(crops: DataFrame, norms: DataFrame, fill: int | None = None) ->
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            out = []
-            for c, w, h in zip(frame["crop"], frame["canvas_width"], frame["canvas_height"], strict=True):
+            for file, c, w, h in zip(frame["file"], frame["crop"], frame["canvas_width"], frame["canvas_height"], strict=True):
                 x = on_canvas(np.frombuffer(c["data"], np.uint8).reshape(c["height"], c["width"], c["nChannels"]), int(w), int(h), fill)
-                out.append({"height": x.shape[0], "width": x.shape[1], "nChannels": x.shape[2], "data": x.tobytes()})
-            yield pd.DataFrame({"file": frame["file"], "crop": out})
+                yield pd.DataFrame({"file": [file], "crop": [{"height": x.shape[0], "width": x.shape[1], "nChannels": x.shape[2], "data": x.tobytes()}]})
 
     rows = crops.join(norms.select("volume", "canvas_width", "canvas_height"), "volume").select("file", "crop", "canvas_width", "canvas_height")
     return rows.mapInPandas(run, "file string, crop struct<height:int,width:int,nChannels:int,data:binary>")

@@ -187,3 +187,24 @@ def test_jobs():
     waiting.states = iter(["IMPORTING"] * 99)
     with pytest.raises(TimeoutError):
         jobs.run(waiting, {}, [], poll=5, limit=20, sleep=lambda _: None)
+
+
+def test_photographs_one_at_a_time(spark):
+    import pandas as pd
+
+    first = next(P.drawn(iter([pd.DataFrame({"page_id": range(1_000_000)})])))
+    assert len(first) == 1 and first.data[0] == P.synthetic(0, True).tobytes()
+    out = P.demo(spark, "/root/testdata/sf0.001")
+    assert out.rdd.getNumPartitions() >= 4 * spark.sparkContext.defaultParallelism
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")) <= 8 << 20
+
+
+def test_canvases_one_at_a_time(spark, monkeypatch):
+    kept = []
+    with monkeypatch.context() as m:
+        m.setattr(type(spark.range(1)), "mapInPandas", lambda self, run, schema: kept.append((run, self)))
+        crops = spark.range(3).selectExpr("'v' AS volume", "string(id) AS file", "named_struct('height', 1, 'width', 1, 'nChannels', 3, 'data', X'010203') AS crop")
+        writers.on_canvases(crops, spark.createDataFrame([("v", 40, 30)], "volume string, canvas_width int, canvas_height int"))
+    run, rows = kept[0]
+    made = list(run(iter([rows.toPandas()])))
+    assert [len(x) for x in made] == [1, 1, 1] and {len(x.crop[0]["data"]) for x in made} == {3600}
