@@ -205,18 +205,29 @@ def box_union(boxes: DataFrame, page: str, margin: float = 0.0, trim: float | No
 def coverage(rects: DataFrame, image: str, crop: tuple[Column, Column, Column, Column], grid: int = 1) -> DataFrame:
     """How much of the union of an image's rectangles a crop holds, and how much of the crop they fill.
 
-    The union's area is exact: rectangles are cut into the cells between all their edges of the image."""
-    x0, y0, x1, y1 = crop
-    own = rects.withColumns({"_cx0": x0, "_cy0": y0, "_cx1": x1, "_cy1": y1})
-    boxes = F.collect_list(F.struct("x0", "y0", "x1", "y1")).alias("r")
-    g = own.groupBy(image, "_cx0", "_cy0", "_cx1", "_cy1").agg(boxes)
-    edges = lambda a, b, lo, hi: F.array_sort(F.array_distinct(F.concat(F.transform("r", lambda r: r[a]), F.transform("r", lambda r: r[b]), F.array(F.col(lo), F.col(hi)))))
-    g = g.withColumn("xs", edges("x0", "x1", "_cx0", "_cx1")).withColumn("ys", edges("y0", "y1", "_cy0", "_cy1"))
-    cell = g.select("*", F.posexplode("xs").alias("i", "a")).withColumn("b", F.get("xs", F.col("i") + 1)).where("b IS NOT NULL")
-    cell = cell.select("*", F.posexplode("ys").alias("j", "c")).withColumn("d", F.get("ys", F.col("j") + 1)).where("d IS NOT NULL")
-    inside = F.exists("r", lambda r: (r["x0"] <= F.col("a")) & (r["x1"] >= F.col("b")) & (r["y0"] <= F.col("c")) & (r["y1"] >= F.col("d")))
-    held = (F.col("_cx0") <= F.col("a")) & (F.col("_cx1") >= F.col("b")) & (F.col("_cy0") <= F.col("c")) & (F.col("_cy1") >= F.col("d"))
-    area = (F.col("b") - F.col("a")) * (F.col("d") - F.col("c"))
-    sums = cell.groupBy(image, "_cx0", "_cy0", "_cx1", "_cy1").agg(F.sum(F.when(inside, area).otherwise(0.0)).alias("rects"), F.sum(F.when(inside & held, area).otherwise(0.0)).alias("held"))
-    crop_area = (F.col("_cx1") - F.col("_cx0")) * (F.col("_cy1") - F.col("_cy0"))
-    return sums.select(image, F.coalesce(F.try_divide("held", "rects"), F.lit(0.0)).alias("coverage"), F.coalesce(F.try_divide(F.col("held"), crop_area), F.lit(0.0)).alias("meaningful"))
+    The union's area is exact. Between each two neighbouring left or right edges of an image's rectangles, those that
+    reach over are passed in order of their upper edges, and what each adds to the length covered is summed up: no cell
+    becomes a row, and an image takes space in proportion to its rectangles. One that lacks an edge covers nothing."""
+    own = rects.withColumns({f"_c{i}": c for i, c in enumerate(crop)})
+    box = F.struct(*(F.col(c).cast("double").alias(c) for c in ("y0", "y1", "x0", "x1")))
+    g = own.groupBy(image, "_c0", "_c1", "_c2", "_c3").agg(F.sort_array(F.collect_list(F.when(F.col("y0").isNotNull() & F.col("y1").isNotNull() & F.col("x0").isNotNull() & F.col("x1").isNotNull(), box))).alias("r"))
+    cx0, cy0, cx1, cy1 = (F.col(f"_c{i}").cast("double") for i in range(4))
+    none, least = F.lit(0.0), F.lit(float("-inf"))
+    start = F.struct(least.alias("end"), none.alias("all"), none.alias("held"))
+
+    def lower(s: Column, r: Column, a: Column, b: Column) -> Column:
+        """The state after a rectangle: how far down the strip is covered, and the lengths covered so far, in all and in the crop."""
+        top = F.greatest(r["y0"], s["end"])
+        more = F.struct(r["y1"].alias("end"), (s["all"] + r["y1"] - top).alias("all"), (s["held"] + F.greatest(none, F.least(r["y1"], cy1) - F.greatest(top, cy0))).alias("held"))
+        return F.when((r["x0"] <= a) & (r["x1"] >= b) & (r["y1"] > top), more).otherwise(s)
+
+    def strip(a: Column, b: Column) -> Column:
+        """Areas of the strip from a to b that are covered, in all and in the crop."""
+        width, held = b - a, F.greatest(none, F.least(b, cx1) - F.greatest(a, cx0))
+        return F.aggregate("r", start, lambda s, r: lower(s, r, a, b), lambda s: F.struct((width * s["all"]).alias("all"), (held * s["held"]).alias("held")))
+
+    g = g.withColumn("x", F.sort_array(F.array_distinct(F.concat("r.x0", "r.x1"))))
+    g = g.withColumn("s", F.zip_with("x", F.slice("x", 2, F.greatest(F.size("x") - 1, F.lit(0))), lambda a, b: F.when(b.isNotNull(), strip(a, b))))
+    total = lambda k: F.aggregate(F.col(f"s.{k}"), none, lambda t, v: t + F.coalesce(v, none))
+    sums = g.select(image, total("all").alias("rects"), total("held").alias("held"), ((cx1 - cx0) * (cy1 - cy0)).alias("area"))
+    return sums.select(image, F.coalesce(F.try_divide("held", "rects"), none).alias("coverage"), F.coalesce(F.try_divide("held", "area"), none).alias("meaningful"))

@@ -50,6 +50,19 @@ def test_coverage_is_the_area_of_the_union(spark):
         assert np.allclose((r.coverage, r.meaningful), want[r.image])
 
 
+def test_coverage_makes_no_row_of_a_cell(spark):
+    rects = [("a", float(i), float(i % 7), float(i + 60), float(i % 7 + 3)) for i in range(120)] + [("b", None, 1.0, 9.0, 9.0), ("b", 0.0, 0.0, 4.0, 2.0), ("b", 3.0, 5.0, 1.0, 9.0), ("c", None, 0.0, 1.0, 1.0), (None, 0.0, 0.0, 20.0, 10.0)]
+    df = spark.createDataFrame(rects, "image string, x0 double, y0 double, x1 double, y1 double")
+    out = summaries.coverage(df, "image", (L(10.0), L(5.0), L(35.0), L(30.0)))
+    assert "Generate" not in out._jdf.queryExecution().executedPlan().toString()
+    got = {r.image: (r.coverage, r.meaningful) for r in out.collect()}
+    full = np.zeros((30, 180), bool)
+    for i in range(120):
+        full[i % 7 : i % 7 + 3, i : i + 60] = True
+    assert np.allclose(got["a"], (full[5:, 10:35].sum() / full.sum(), full[5:, 10:35].sum() / 625))
+    assert got["b"] == got["c"] == (0.0, 0.0) and np.allclose(got[None], (50 / 200, 50 / 625))
+
+
 def test_profiles(spark):
     p = spark.createDataFrame([("a", i, float(v)) for i, v in enumerate([5, 5, 1, 5, 5, 0, 9])], "id string, pos int, value double")
     best = profiles.deepest(profiles.prominence(p, 1)).first()
