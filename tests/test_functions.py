@@ -51,6 +51,26 @@ def test_lenient_json(spark):
     assert one(spark, text.lenient_records(L("junk"), schema))[0] == []
 
 
+def test_first_kept(spark):
+    for said in (None, "", "-" * 70_000 + "a_b" + "\n" * 9 + "c" * 300, "\U0001f600é a\r\nB", "x" * 199 + "--" + "yz"):
+        want = F.substring(F.regexp_replace(F.coalesce(L(said).cast("string"), L("")), "[^A-Za-z0-9 _]", ""), 1, 200)
+        got, old = one(spark, text.first_kept(L(said).cast("string"), "A-Za-z0-9 _", 200), want)
+        assert got == old
+
+
+def test_lenient_text_is_worked_out_once(spark):
+    from quirework.plans.queries import QUERIES
+
+    said = F.concat(L(r'\[{"file":"MARK'), C("id").cast("string"), L(r'","transcription":"x"}\]'))
+    rows = spark.range(3).select(text.lenient_records(said, "array<struct<file:string,transcription:string>>").alias("r"))
+    assert rows._jdf.queryExecution().optimizedPlan().toString().count("MARK") == 1
+    assert [r.r for r in rows.collect()] == [[(f"MARK{i}", "x")] for i in range(3)]
+    docs = spark.createDataFrame([(i, "a_b [c]-" * 40, "en") for i in range(6)], "doc_id long, text string, lang string")
+    out = QUERIES["lenient_transcriptions"].run(lambda _: docs)
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("to_json") + out._jdf.queryExecution().optimizedPlan().toString().count("StructsToJson") == 1
+    assert {tuple(r)[1:] for r in out.drop("file").collect()} == {(2, ("a_b c" * 40)[:200], "second_en")}
+
+
 def test_text_counts(spark):
     assert one(spark, text.char_count(L("  a \n b ")), text.word_count(L("  a \n b ")), text.char_count(L(None).cast("string")), text.word_count(L(""))) == (3, 2, 0, 0)
 
